@@ -58,7 +58,7 @@ def date_of(df: DataFrame, name: str) -> Column:
     text = F.trim(column.cast("string"))
     compact = F.when(text.rlike(r"^\d{8}$"), text)
     return F.coalesce(
-        F.try_to_date(compact, F.lit("yyyyMMdd")),
+        F.try_to_date(compact, "yyyyMMdd"),
         F.to_date(text.try_cast("timestamp_ntz")),
     )
 

@@ -67,8 +67,8 @@ def _late_rows() -> Column:
     return F.coalesce(changes, F.lit(False))
 
 
-def _complete(values: Column, n: int) -> Column:
-    return (F.size(values) == n) & ~F.exists(values, lambda v: v.isNull())
+def _complete(values: Column) -> Column:
+    return ~F.exists(values, lambda v: v.isNull())
 
 
 def _tail(values: Column, n: int) -> Column:
@@ -81,11 +81,21 @@ def _lookback_returns(values: Column, n: int) -> Column:
     return F.zip_with(later, earlier, lambda x, y: pct(x, y))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed a single time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _sample_deviation(values: Column, n: int) -> Column:
-    add = lambda total, v: total + v
-    mean = F.aggregate(values, F.lit(0.0), add) / n
-    squares = F.transform(values, lambda v: (v - mean) * (v - mean))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), add) / (n - 1))
+    """Sample deviation of a full array; a null element makes it null."""
+    def spread(mean: Column) -> Column:
+        squares = F.aggregate(
+            values, F.lit(0.0), lambda total, v: total + (v - mean) * (v - mean)
+        )
+        return F.sqrt(squares / (n - 1))
+
+    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    return _once(total / n, spread)
 
 
 def history_panel(
@@ -154,13 +164,15 @@ def history_panel(
     )
     for n in VOLATILITY_ROWS:
         plain = F.when(seen > n, W.annual_volatility(F.col("_daily"), n))
-        moved = _lookback_returns(series, n)
-        deviation = F.when(_complete(moved, n), _sample_deviation(moved, n))
+        deviation = _once(
+            _lookback_returns(series, n), lambda moved: _sample_deviation(moved, n)
+        )
         out[f"rv{n}_pct"] = F.when(late, deviation * F.lit(W.ANNUAL)).otherwise(plain)
     for n, target in HIGHS.items():
         plain = F.when(seen >= n, W.below_high(own, n))
-        tail = _tail(series, n)
-        high = F.when(_complete(tail, n), F.array_max(tail))
+        high = _once(
+            _tail(series, n), lambda tail: F.when(_complete(tail), F.array_max(tail))
+        )
         out[target] = F.when(late, pct(own, high)).otherwise(plain)
     rows = rows.withColumns(out)
     if start is not None:
