@@ -14,6 +14,8 @@ from pitpanel.functions import windows as W
 from pitpanel.functions.hashing import content_hash
 from pitpanel.functions.keys import duplicate_keys, outside
 from pitpanel.operators import calendar as C
+from pitpanel.operators import catalog as CA
+from pitpanel.operators import document as D
 from pitpanel.operators import gate as G
 from pitpanel.operators import normalize as N
 from pitpanel.operators import panel as P
@@ -30,6 +32,7 @@ from pitpanel.operators.state import (
 from pitpanel.plans.role_sql import BOARD, EXCHANGE, with_views
 from pitpanel.plans.roles import Roles
 from pitpanel.schemas import QUOTE_MEASURES, STOCK_STATE_FIELDS
+from pitpanel.sources.landing import flatten_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -656,25 +659,420 @@ def _(r: Roles) -> DataFrame:
 
 
 def module_status(r: Roles) -> DataFrame:
-    """Entitlement checks taken from the event log: one per day and module."""
-    kinds = F.when(F.col("event_id") % 2 == 0, "tradability").otherwise("index-membership")
-    refused = F.when(F.col("user_id") % 2 == 0, "not_entitled").otherwise("ready")
-    return r.table("events").groupBy(
-        F.to_date("ts").alias("as_of_date"), kinds.alias("module")
+    """Entitlement checks taken from the orders: one per day and module."""
+    module = F.when(F.col("o_custkey") % 2 == 0, "tradability").otherwise("industry")
+    state = F.when(F.col("o_orderstatus") == "F", "not_entitled").otherwise("ready")
+    return r.table("orders").groupBy(
+        F.to_date("o_orderdate").alias("as_of_date"), module.alias("module")
     ).agg(
-        F.max_by(refused, F.struct("ts", "event_id")).alias("state"),
-        F.max("ts").alias("checked_at_utc"),
+        F.max_by(state, "o_orderkey").alias("state"),
+        F.max("o_orderdate").alias("checked_at_utc"),
     )
 
 
-@query("module_status_as_of", """
+MODULE_STATUS_SQL = """
 SELECT t.trade_date, m.module, m.state
-FROM (SELECT t.trade_date, (SELECT max(CAST(ts AS DATE)) FROM events
-              WHERE CAST(ts AS DATE) <= t.trade_date) AS as_of_date FROM trade_dates t) t
-JOIN (SELECT CAST(ts AS DATE) AS as_of_date,
-             CASE WHEN event_id % 2 = 0 THEN 'tradability' ELSE 'index-membership' END AS module,
-             arg_max(CASE WHEN user_id % 2 = 0 THEN 'not_entitled' ELSE 'ready' END, (ts, event_id)) AS state
-      FROM events GROUP BY 1, 2) m ON t.as_of_date = m.as_of_date""")
+FROM (SELECT t.trade_date, max(o.d) AS as_of_date FROM trade_dates t
+      JOIN (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) o ON o.d <= t.trade_date
+      GROUP BY 1) t
+JOIN (SELECT CAST(o_orderdate AS DATE) AS as_of_date,
+             CASE WHEN o_custkey % 2 = 0 THEN 'tradability' ELSE 'industry' END AS module,
+             arg_max(CASE WHEN o_orderstatus = 'F' THEN 'not_entitled' ELSE 'ready' END, o_orderkey) AS state
+      FROM orders GROUP BY 1, 2) m ON t.as_of_date = m.as_of_date"""
+
+
+@query("module_status_as_of", MODULE_STATUS_SQL)
 def _(r: Roles) -> DataFrame:
     found = R.module_status_as_of(module_status(r), r.trade_dates)
     return found.select("trade_date", "module", "state")
+
+
+@query("entitlement_overlay", f"""
+SELECT x.trade_date, x.module,
+       CASE WHEN m.state = 'not_entitled' AND x.state <> 'ready' THEN 'not_entitled' ELSE x.state END AS state
+FROM (UNPIVOT (SELECT trade_date, history_state AS history, adjustment_state AS adjustment,
+                      corporate_actions_state AS corporate_actions, industry_state AS industry,
+                      index_membership_state AS index_membership, index_prices_state AS index_prices,
+                      tradability_state AS tradability, stock_state_state AS stock_state
+               FROM ({READINESS_SQL}) q)
+      ON COLUMNS(* EXCLUDE (trade_date)) INTO NAME module VALUE state) x
+LEFT JOIN ({MODULE_STATUS_SQL}) m ON x.trade_date = m.trade_date AND x.module = m.module""")
+def _(r: Roles) -> DataFrame:
+    rows = R.readiness_rows(readiness(r))
+    return R.entitlement_overlay(rows, module_status(r)).drop("entitlement_checked_at_utc")
+
+
+# Gate and calendar -----------------------------------------------------------
+
+GATE_QUOTES = """
+SELECT q.trade_date, count(DISTINCT q.thscode) AS quote_count,
+       count(*) FILTER (high < greatest(open, low, close) OR low > least(open, high, close)) AS invalid_ohlc_rows,
+       count(*) FILTER (open <= 0) + count(*) FILTER (high <= 0) + count(*) FILTER (low <= 0)
+         + count(*) FILTER (close <= 0) + count(*) FILTER (pre_close <= 0) AS nonpositive_price_values,
+       count(*) FILTER (volume > 0 AND (avg_price < low - 1e-6 OR avg_price > high + 1e-6)) AS average_price_outside_range_rows,
+       count(*) FILTER (pre_close > 0 AND abs(change_ratio - (close / pre_close - 1) * 100) > 0.06) AS change_ratio_inconsistent_rows,
+       round(count(pre_close) / count(*), 6) AS pre_close_coverage,
+       round(count(turnover_ratio) / count(*), 6) AS turnover_ratio_coverage,
+       count(DISTINCT exchange) AS exchanges
+FROM daily_quotes q GROUP BY 1"""
+GATE_REFERENCE = """
+SELECT as_of_date, count(DISTINCT thscode) AS reference_count,
+       round(count(total_shares) / count(*), 6) AS total_shares_coverage,
+       round(count(float_a_shares) / count(*), 6) AS float_a_shares_coverage,
+       count(*) FILTER (listing_date > as_of_date) AS future_listing_date_rows
+FROM reference_daily GROUP BY 1"""
+GATE_UNIVERSE = """
+SELECT as_of_date, count(DISTINCT thscode) AS universe_count, count(DISTINCT exchange) AS exchanges
+FROM universe GROUP BY 1"""
+
+
+@query("quality_metrics", f"""
+SELECT u.as_of_date AS run_date, u.universe_count, r.reference_count, q.quote_count,
+       round(q.quote_count / u.universe_count, 6) AS quote_coverage,
+       round(r.reference_count / u.universe_count, 6) AS reference_coverage,
+       q.pre_close_coverage, q.turnover_ratio_coverage, r.total_shares_coverage,
+       r.float_a_shares_coverage, q.invalid_ohlc_rows, q.nonpositive_price_values,
+       q.average_price_outside_range_rows, q.change_ratio_inconsistent_rows,
+       r.future_listing_date_rows, 0 AS quote_duplicates, 0 AS status_quote_mismatches,
+       s.no_quote AS no_quote_observed_rows, c.is_open AS is_open_date,
+       CAST(u.as_of_date AS VARCHAR) AS quote_dates
+FROM ({GATE_UNIVERSE}) u JOIN ({GATE_REFERENCE}) r ON u.as_of_date = r.as_of_date
+JOIN ({GATE_QUOTES}) q ON u.as_of_date = q.trade_date
+JOIN trading_calendar c ON u.as_of_date = c.trade_date
+JOIN (SELECT trade_date, count(*) FILTER (observation_state = 'no_quote_observed') AS no_quote
+      FROM status GROUP BY 1) s ON u.as_of_date = s.trade_date""")
+def _(r: Roles) -> DataFrame:
+    metrics = G.quality_metrics(gate_inputs(r))
+    return flat(metrics.select(
+        "run_date", "universe_count", "reference_count", "quote_count", "quote_coverage",
+        "reference_coverage", "pre_close_coverage", "turnover_ratio_coverage",
+        "total_shares_coverage", "float_a_shares_coverage", "invalid_ohlc_rows",
+        "nonpositive_price_values", "average_price_outside_range_rows",
+        "change_ratio_inconsistent_rows", "future_listing_date_rows", "quote_duplicates",
+        "status_quote_mismatches", "no_quote_observed_rows", "is_open_date", "quote_dates",
+    ))
+
+
+@query("quality_errors", f"""
+SELECT u.as_of_date AS run_date, concat_ws('|',
+         CASE WHEN u.universe_count < 5 THEN format('universe_count {{}} below minimum 5', u.universe_count) END,
+         CASE WHEN q.quote_count / u.universe_count < 0.3 THEN
+           format('quote_coverage {{:.4f}} below minimum 0.3000', q.quote_count / u.universe_count) END,
+         CASE WHEN r.reference_count / u.universe_count < 0.9 THEN
+           format('reference_coverage {{:.4f}} below minimum 0.9000', r.reference_count / u.universe_count) END,
+         CASE WHEN q.pre_close_coverage < 0.8 THEN
+           format('pre_close_coverage {{:.4f}} below minimum 0.8000', q.pre_close_coverage) END,
+         CASE WHEN r.total_shares_coverage < 0.8 THEN
+           format('total_shares_coverage {{:.4f}} below minimum 0.8000', r.total_shares_coverage) END,
+         CASE WHEN r.float_a_shares_coverage < 0.8 THEN
+           format('float_a_shares_coverage {{:.4f}} below minimum 0.8000', r.float_a_shares_coverage) END,
+         CASE WHEN NOT c.is_open THEN
+           'requested date ' || strftime(u.as_of_date, '%Y-%m-%d') || ' is not open in SSE calendar' END,
+         CASE WHEN u.exchanges < 3 THEN 'universe does not cover SSE, SZSE, and BSE' END,
+         CASE WHEN q.exchanges < 3 THEN 'quotes do not cover SSE, SZSE, and BSE' END,
+         CASE WHEN q.average_price_outside_range_rows > 0 THEN
+           format('quotes contain {{}} average prices outside daily range', q.average_price_outside_range_rows) END
+       ) AS errors
+FROM ({GATE_UNIVERSE}) u JOIN ({GATE_REFERENCE}) r ON u.as_of_date = r.as_of_date
+JOIN ({GATE_QUOTES}) q ON u.as_of_date = q.trade_date
+JOIN trading_calendar c ON u.as_of_date = c.trade_date""")
+def _(r: Roles) -> DataFrame:
+    report = G.validate_data(gate_inputs(r), LIMITS)
+    return report.select("run_date", F.array_join("errors", "|").alias("errors"))
+
+
+@query("duplicate_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
+GROUP BY 1, 2 HAVING count(*) > 1""")
+def _(r: Roles) -> DataFrame:
+    return duplicate_keys(r.table("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("codes_outside_universe", """
+SELECT DISTINCT u.as_of_date, u.thscode FROM universe u
+WHERE NOT EXISTS (SELECT 1 FROM bar_keys k
+                  WHERE k.trade_date = u.as_of_date AND k.thscode = u.thscode)""")
+def _(r: Roles) -> DataFrame:
+    quoted = r.bar_keys.withColumnRenamed("trade_date", "as_of_date")
+    return outside(r.universe, quoted, ["as_of_date", "thscode"])
+
+
+@query("open_sessions", "SELECT trade_date FROM trading_calendar WHERE is_open")
+def _(r: Roles) -> DataFrame:
+    return C.open_sessions(r.trading_calendar)
+
+
+@query("market_closed", "SELECT trade_date FROM trading_calendar WHERE NOT is_open")
+def _(r: Roles) -> DataFrame:
+    return C.market_closed(r.trade_dates, r.trading_calendar)
+
+
+@query("non_trading_weekdays", """
+SELECT d AS trade_date FROM (
+  SELECT CAST(unnest(generate_series(min(trade_date), max(trade_date), INTERVAL '1' DAY)) AS DATE) AS d
+  FROM trading_calendar) x
+WHERE isodow(d) < 6 AND d NOT IN (SELECT trade_date FROM trading_calendar WHERE is_open)""")
+def _(r: Roles) -> DataFrame:
+    return C.non_trading_weekdays(r.trading_calendar)
+
+
+@query("session_batches", """
+SELECT trade_date, CAST(row_number() OVER (ORDER BY trade_date) AS INTEGER) AS session_no,
+       CAST((row_number() OVER (ORDER BY trade_date) - 1) // 63 AS INTEGER) AS batch_id
+FROM trading_calendar WHERE is_open""")
+def _(r: Roles) -> DataFrame:
+    return C.session_batches(C.open_sessions(r.trading_calendar))
+
+
+# Publishing decisions --------------------------------------------------------
+
+
+@query("missing_partitions", """
+SELECT t.trade_date FROM trade_dates t
+WHERE NOT (EXISTS (SELECT 1 FROM orders o WHERE CAST(o_orderdate AS DATE) = t.trade_date
+                   AND o_orderstatus = 'F')
+           AND EXISTS (SELECT 1 FROM orders o WHERE CAST(o_orderdate AS DATE) = t.trade_date
+                       AND o_orderstatus = 'O'))""")
+def _(r: Roles) -> DataFrame:
+    orders = r.table("orders").withColumn("as_of_date", F.to_date("o_orderdate"))
+    return CA.missing_partitions(
+        r.trade_dates, orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'O'")
+    )
+
+
+@query("retention_plan", """
+SELECT trade_date FROM trade_dates
+WHERE trade_date NOT IN (SELECT trade_date FROM trade_dates ORDER BY trade_date DESC LIMIT 60)""")
+def _(r: Roles) -> DataFrame:
+    return CA.retention_plan(r.trade_dates)
+
+
+@query("market_history_upsert", """
+SELECT coalesce(f.trade_date, s.trade_date) AS trade_date,
+       coalesce(f.total_amount, s.total_amount) AS total_amount,
+       coalesce(f.quoted, s.quoted) AS quoted
+FROM (SELECT trade_date, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+             count(*) AS quoted FROM daily_quotes GROUP BY 1) f
+FULL JOIN (SELECT CAST(o_orderdate AS DATE) AS trade_date,
+                  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+                  count(*) AS quoted FROM orders GROUP BY 1) s ON f.trade_date = s.trade_date
+ORDER BY 1 DESC LIMIT 252""")
+def _(r: Roles) -> DataFrame:
+    fresh = r.bars_raw.groupBy("trade_date").agg(
+        SU.exact_sum("amount").alias("total_amount"), F.count(F.lit(1)).alias("quoted")
+    )
+    stored = r.table("orders").groupBy(F.to_date("o_orderdate").alias("trade_date")).agg(
+        SU.exact_sum("o_totalprice").alias("total_amount"),
+        F.count(F.lit(1)).alias("quoted"),
+    )
+    return CA.upsert_market_history(stored, fresh)
+
+
+PREVIOUS = dt.date(1999, 6, 2)
+
+
+@query("run_states", f"""
+SELECT trade_date, CASE WHEN NOT collected THEN 'failed_collection' WHEN NOT is_open THEN 'market_closed'
+            WHEN NOT gate_ok THEN 'failed_quality'
+            WHEN unchanged AND trade_date = DATE '{PREVIOUS}' THEN 'success_unchanged'
+            WHEN unchanged THEN 'success_historical_unchanged'
+            WHEN trade_date < DATE '{PREVIOUS}' THEN 'success_historical' ELSE 'success' END AS state
+FROM (SELECT c.trade_date, c.is_open, o.n IS NOT NULL AS collected, q.n >= coalesce(o.n, 0) AS gate_ok,
+             q.n = o.n AS unchanged
+      FROM trading_calendar c
+      LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS d, count(DISTINCT o_orderpriority) AS n
+                 FROM orders GROUP BY 1) o ON c.trade_date = o.d
+      JOIN (SELECT trade_date, count(DISTINCT board) AS n FROM daily_quotes GROUP BY 1) q
+        ON c.trade_date = q.trade_date) x""")
+def _(r: Roles) -> DataFrame:
+    boards = with_market(r.bar_keys).groupBy("trade_date").agg(
+        F.count_distinct("board").alias("boards")
+    )
+    kinds = r.table("orders").groupBy(F.to_date("o_orderdate").alias("trade_date")).agg(
+        F.count_distinct("o_orderpriority").alias("kinds")
+    )
+    facts = r.trading_calendar.join(boards, "trade_date").join(kinds, "trade_date", "left")
+    outcome = facts.select(
+        "trade_date", "is_open", F.col("kinds").isNotNull().alias("collected"),
+        (F.col("boards") >= F.coalesce("kinds", F.lit(0))).alias("gate_ok"),
+        (F.col("boards") == F.col("kinds")).alias("unchanged"),
+        F.lit(False).alias("derived_failed"), F.lit(PREVIOUS).alias("previous_latest"),
+    )
+    return CA.run_states(outcome).select("trade_date", "state")
+
+
+HASH_COLUMNS = ["trade_date", "thscode", "security_name", "s_suppkey"]
+ROW_SQL = "'=' || strftime(trade_date, '%Y-%m-%d') || chr(31) || '=' || thscode || chr(31) || '=' || security_name || chr(31) || '=' || CAST(s_suppkey AS VARCHAR)"
+WORD_SQL = "sum(CAST(('0x' || substr(h, {}, 15))::BIGINT AS DECIMAL(20,0)))"
+HASH_SQL = (
+    "SELECT trade_date, count(*) AS \"rows\", sha256(concat_ws(':', CAST(count(*) AS VARCHAR), "
+    + ", ".join(f"CAST({WORD_SQL.format(1 + 15 * i)} AS VARCHAR)" for i in range(4))
+    + f")) AS sha256 FROM (SELECT trade_date, sha256({ROW_SQL}) AS h FROM {{}}) GROUP BY 1"
+)
+
+
+@query("content_hash", HASH_SQL.format("bar_keys"))
+def _(r: Roles) -> DataFrame:
+    return content_hash(r.bar_keys, ["trade_date"], HASH_COLUMNS)
+
+
+@query("unchanged_dates", f"""
+SELECT n.trade_date, n.sha256 = o.sha256 AS unchanged
+FROM ({HASH_SQL.format('bar_keys')}) n
+JOIN ({HASH_SQL.format('''(SELECT * FROM bar_keys k WHERE NOT EXISTS (
+    SELECT 1 FROM trading_calendar c WHERE c.trade_date = k.trade_date AND NOT c.is_open
+    AND k.s_suppkey = (SELECT min(s_suppkey) FROM bar_keys m WHERE m.trade_date = k.trade_date)))''')}) o
+  ON n.trade_date = o.trade_date""")
+def _(r: Roles) -> DataFrame:
+    first = r.bar_keys.groupBy("trade_date").agg(F.min("s_suppkey").alias("s_suppkey"))
+    closed = r.trading_calendar.where(~F.col("is_open")).select("trade_date")
+    lost = first.join(closed, "trade_date", "left_semi")
+    before = r.bar_keys.join(lost, ["trade_date", "s_suppkey"], "left_anti")
+    hashed = lambda df: content_hash(df, ["trade_date"], HASH_COLUMNS).withColumn(
+        "name", F.lit("bars")
+    )
+    stored = hashed(before).withColumn("published_at", F.lit(1))
+    found = CA.changed_dates(hashed(r.bar_keys), stored)
+    return found.where("known_before").select("trade_date", "unchanged")
+
+
+@query("data_catalog", f"""
+SELECT trade_date, 'daily_quotes' AS name, 'snapshot' AS layer,
+       'snapshots/' || strftime(trade_date, '%Y-%m-%d') || '/daily_quotes' AS path, "rows", sha256,
+       'unadjusted daily OHLCV and turnover facts' AS description
+FROM ({HASH_SQL.format('bar_keys')}) h
+UNION ALL
+SELECT trade_date, 'stock_state', 'derived_feature',
+       'features/stock_state/trade_date=' || strftime(trade_date, '%Y-%m-%d'), count(*), NULL,
+       'PIT per-security adjusted-price and market-state fields'
+FROM bar_keys GROUP BY 1""")
+def _(r: Roles) -> DataFrame:
+    listed = content_hash(r.bar_keys, ["trade_date"], HASH_COLUMNS)
+    artifacts = listed.withColumn("name", F.lit("daily_quotes"))
+    rows = r.bar_keys.groupBy("trade_date").agg(F.count(F.lit(1)).alias("rows"))
+    return CA.data_catalog(artifacts, rows)
+
+
+@query("probe_statistics", """
+SELECT count(*) AS row_count, min(adj_factor) AS value_min, max(adj_factor) AS value_max,
+       min(adj_factor) > 0 AS all_positive, count(adj_factor) AS non_null_adj_factor,
+       count(thscode) AS non_null_thscode, count(DISTINCT trade_date) AS source_dates,
+       min(trade_date) AS first_date, max(trade_date) AS last_date
+FROM adjustment_factors""")
+def _(r: Roles) -> DataFrame:
+    return SU.probe_statistics(
+        r.adjustment_factors, "adj_factor", ["adj_factor", "thscode"]
+    )
+
+
+# Explorer, document, landed JSON ---------------------------------------------
+
+
+def explorer(r: Roles) -> DataFrame:
+    listed = universe(r)
+    return explorer_rows(
+        ST.build_daily_security_status(listed, r.daily_quotes),
+        N.normalize_security_reference(reference(r), listed), r.daily_quotes,
+    )
+
+
+EXPLORER_SQL = """
+SELECT s.trade_date, s.thscode, s.security_name, s.exchange, s.board, s.observation_state,
+       r.listing_date, r.total_shares, r.float_a_shares, q.close, q.pre_close,
+       round(q.avg_price, 6) AS avg_price, q.volume, q.amount,
+       round(q.turnover_ratio, 4) AS turnover_ratio, round(q.change_ratio, 4) AS change_ratio
+FROM status s LEFT JOIN reference_daily r ON s.trade_date = r.as_of_date AND s.thscode = r.thscode
+LEFT JOIN daily_quotes q ON s.trade_date = q.trade_date AND s.thscode = q.thscode"""
+
+
+@query("explorer_rows", EXPLORER_SQL)
+def _(r: Roles) -> DataFrame:
+    return explorer(r)
+
+
+@query("explorer_page", f"""
+SELECT * FROM ({EXPLORER_SQL}) e
+WHERE (contains(lower(thscode), 'sh') OR contains(lower(security_name), 'sh'))
+  AND observation_state = 'traded'
+ORDER BY change_ratio DESC NULLS LAST, thscode LIMIT 50 OFFSET 50""")
+def _(r: Roles) -> DataFrame:
+    rows = filter_explorer(explorer(r), term="SH", state="traded")
+    return explorer_page(rows, "change_desc", 2)
+
+
+@query("reference_document", """
+SELECT s.trade_date, 2 AS schema_version,
+       strftime(s.trade_date, '%Y-%m-%d') || 'T20:15:00+08:00' AS data_cutoff_time,
+       count(*) AS stock_state_rows,
+       CAST(count(DISTINCT s.sw1_code) AS INTEGER) AS industries, CAST(61 AS INTEGER) AS fields,
+       CASE WHEN avg(CAST(s.adjusted_ready AS INTEGER)) >= 0.98 THEN 'ready' ELSE 'missing' END AS adjustment_state,
+       any_value(m.advancers) AS advancers,
+       CAST(2 AS INTEGER) AS catalog_entries
+FROM state s JOIN (SELECT trade_date, count(*) FILTER (change_ratio > 0) AS advancers
+                   FROM daily_quotes GROUP BY 1) m ON s.trade_date = m.trade_date
+GROUP BY 1""")
+def _(r: Roles) -> DataFrame:
+    docs = documents(r)
+    part = lambda path: F.get_json_object("document", path)
+    count = lambda path: F.size(F.from_json(part(path), "array<string>"))
+    return docs.select(
+        "trade_date", part("$.schema_version").cast("int").alias("schema_version"),
+        part("$.as_of.data_cutoff_time").alias("data_cutoff_time"),
+        part("$.coverage.stock_state_rows").cast("bigint").alias("stock_state_rows"),
+        count("$.market_snapshot.industry_summary").alias("industries"),
+        count("$.coverage.fields").alias("fields"),
+        part("$.readiness.adjustment.state").alias("adjustment_state"),
+        part("$.market_snapshot.breadth.advancers").cast("bigint").alias("advancers"),
+        count("$.data_catalog").alias("catalog_entries"),
+    )
+
+
+def documents(r: Roles) -> DataFrame:
+    state = stock_state(r)
+    ready = R.build_readiness(state, r.trade_dates, r.index_membership, r.index_quotes)
+    rows = R.entitlement_overlay(R.readiness_rows(ready), module_status(r))
+    listed = content_hash(r.bar_keys, ["trade_date"], HASH_COLUMNS)
+    artifacts = listed.withColumn("name", F.lit("daily_quotes"))
+    manifests = CA.source_snapshot_hash(artifacts).withColumns({
+        "collected_at_utc": F.lit(None).cast("string"), "provider": F.lit("driver"),
+        "verified": F.lit(True), "data_fresh": F.lit(True),
+        "quality": F.lit(None).cast("string"), "quality_thresholds": F.lit(None).cast("string"),
+    })
+    counts = r.bar_keys.groupBy("trade_date").agg(F.count(F.lit(1)).alias("rows"))
+    return D.build_documents(
+        manifests, SU.build_market_summary(r.daily_quotes, status(r)), state, ready, rows,
+        CA.data_catalog(artifacts, counts),
+    )
+
+
+@query("landing_json_flatten", """
+SELECT thscode, time, open, close, 'driver' AS note FROM (
+  SELECT c.thscode, CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS time,
+         CAST(l.l_quantity AS INTEGER) AS open,
+         CASE WHEN l.l_linenumber < 5 THEN l.l_linenumber END AS close
+  FROM lineitem l JOIN codes c ON l.l_suppkey = c.s_suppkey) x""")
+def _(r: Roles) -> DataFrame:
+    """Responses of one code and date, with ragged lists and a short time list."""
+    lines = r.table("lineitem").join(r.codes, F.expr("l_suppkey = s_suppkey"))
+    row = F.struct(
+        (F.col("l_linenumber") >= 5).alias("late"),
+        F.col("l_quantity").cast("int").alias("open"), F.col("l_linenumber").alias("close"),
+    )
+    grouped = lines.groupBy("thscode", F.to_date("l_shipdate").alias("day")).agg(
+        F.array_sort(F.collect_list(row)).alias("rows")
+    )
+    shown = F.filter("rows", lambda x: ~x["late"])
+    item = F.struct(
+        "thscode", F.array(F.date_format("day", "yyyy-MM-dd")).alias("time"),
+        F.struct(
+            F.transform("rows", lambda x: x["open"]).alias("open"),
+            F.transform(shown, lambda x: x["close"]).alias("close"),
+            F.lit("driver").alias("note"),
+        ).alias("table"),
+    )
+    landed = grouped.select(F.to_json(F.struct(F.array(item).alias("tables"))).alias("body"))
+    rows = flatten_tables(landed, "body", ["open", "close", "note"])
+    return rows.select(
+        "thscode", "time", F.col("open").cast("int").alias("open"),
+        F.col("close").cast("int").alias("close"), "note",
+    )
