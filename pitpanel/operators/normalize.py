@@ -83,7 +83,10 @@ def normalize_quotes(
     return _with_universe(out, universe, "trade_date").select(*QUOTE_COLUMNS)
 
 
-def normalize_trade_calendar(df: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+def normalize_trade_calendar(
+    df: DataFrame, order: Sequence[str] = (), by_run: bool = False
+) -> DataFrame:
+    """One row per calendar and date; with ``by_run`` also per as-of date."""
     out = _dates(require_columns(df, "trade calendar"), "as_of_date", "trade_date")
     out = out.withColumns({
         "market_code": F.col("market_code").cast("string"),
@@ -91,7 +94,9 @@ def normalize_trade_calendar(df: DataFrame, order: Sequence[str] = ()) -> DataFr
     }).where(F.col("trade_date").isNotNull())
     order = order or ("as_of_date",)
     out = out.select(*CALENDAR_COLUMNS, *[c for c in order if c not in CALENDAR_COLUMNS])
-    return latest_per_key(out, ["calendar", "trade_date"], order).select(
+    keys = ["as_of_date"] if by_run else []
+    order = [c for c in order if c not in keys]
+    return latest_per_key(out, [*keys, "calendar", "trade_date"], order).select(
         *CALENDAR_COLUMNS
     )
 

@@ -13,6 +13,7 @@ from pitpanel.functions import scalars as S
 from pitpanel.functions import windows as W
 from pitpanel.functions.hashing import content_hash
 from pitpanel.functions.keys import duplicate_keys, outside
+from pitpanel.functions.stages import stage
 from pitpanel.operators import calendar as C
 from pitpanel.operators import catalog as CA
 from pitpanel.operators import document as D
@@ -699,7 +700,7 @@ FROM (UNPIVOT (SELECT trade_date, history_state AS history, adjustment_state AS
 LEFT JOIN ({MODULE_STATUS_SQL}) m ON x.trade_date = m.trade_date AND x.module = m.module""")
 def _(r: Roles) -> DataFrame:
     rows = R.readiness_rows(readiness(r))
-    return R.entitlement_overlay(rows, module_status(r)).drop("entitlement_checked_at_utc")
+    return R.entitlement_overlay(rows, module_status(r), r.trade_dates).drop("entitlement_checked_at_utc")
 
 
 # Gate and calendar -----------------------------------------------------------
@@ -1028,9 +1029,9 @@ def _(r: Roles) -> DataFrame:
 
 
 def documents(r: Roles) -> DataFrame:
-    state = stock_state(r)
+    state = stage(stock_state(r), "state")
     ready = R.build_readiness(state, r.trade_dates, r.index_membership, r.index_quotes)
-    rows = R.entitlement_overlay(R.readiness_rows(ready), module_status(r))
+    rows = R.entitlement_overlay(R.readiness_rows(ready), module_status(r), r.trade_dates)
     listed = content_hash(r.bar_keys, ["trade_date"], HASH_COLUMNS)
     artifacts = listed.withColumn("name", F.lit("daily_quotes"))
     manifests = CA.source_snapshot_hash(artifacts).withColumns({

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Call-site capture costs a round trip per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A side hashed by code alone may join on (date, code) without a reshuffle.
