@@ -566,7 +566,10 @@ def _(r: Roles) -> DataFrame:
     rows = TP.join_segments(
         whole_panel(r, 252), TP.industry_segments(members, "SW1", "sw1"), ["thscode"]
     )
-    out = SU.build_industry_summary(rows)
+    narrow = rows.select(
+        "trade_date", "thscode", "sw1_code", "sw1_name", "return_20d_pct", "adt20"
+    )
+    out = SU.build_industry_summary(stage(narrow, "industry"))
     digits = {
         "mean_return_20d_pct": 4, "median_return_20d_pct": 4,
         "positive_breadth_20d": 6, "adt20_sum": 4,

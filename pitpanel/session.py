@@ -10,8 +10,8 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A side hashed by code alone may join on (date, code) without a reshuffle.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Salted joins must be spread over all of their keys, the salt included.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
 }
 
 
