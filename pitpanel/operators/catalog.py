@@ -88,22 +88,28 @@ def run_states(df: DataFrame) -> DataFrame:
 
 
 def backfill_state(states: DataFrame) -> DataFrame:
-    """One row: outcome of a range, its first failing date and completed dates."""
+    """One row: outcome of a range, its first failing date and completed dates.
+
+    ``states`` has one row per requested date, which bounds the list.
+    """
     failed = F.col("state").startswith("failed")
-    first = states.where(failed).agg(F.min("trade_date").alias("failed_date"))
-    done = F.col("data_fresh") & (
-        F.col("failed_date").isNull() | (F.col("trade_date") < F.col("failed_date"))
+    entry = F.struct("trade_date", "data_fresh")
+    collected = states.agg(
+        F.min(F.when(failed, F.col("trade_date"))).alias("failed_date"),
+        F.array_sort(F.collect_list(entry)).alias("_days"),
+    )
+    before = F.filter(
+        "_days",
+        lambda d: d["data_fresh"]
+        & F.coalesce(d["trade_date"] < F.col("failed_date"), F.lit(True)),
     )
-    dates = F.array_sort(F.collect_list(F.when(done, F.col("trade_date"))))
-    # `first` is one aggregated row.
-    return states.join(F.broadcast(first), F.lit(True)).groupBy("failed_date").agg(
-        dates.alias("completed_trade_dates")
-    ).select(
+    listed = collected.select("failed_date", before["trade_date"].alias("done"))
+    return listed.select(
         F.when(F.col("failed_date").isNotNull(), "failed_backfill")
-        .when(F.size("completed_trade_dates") > 0, "success_backfill")
+        .when(F.size("done") > 0, "success_backfill")
         .otherwise("market_closed").alias("state"),
-        "failed_date", "completed_trade_dates",
-        F.size("completed_trade_dates").alias("completed_count"),
+        "failed_date", F.col("done").alias("completed_trade_dates"),
+        F.size("done").alias("completed_count"),
     )
 
 

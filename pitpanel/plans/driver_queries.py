@@ -1050,31 +1050,23 @@ def documents(r: Roles) -> DataFrame:
 
 
 @query("landing_json_flatten", """
-SELECT thscode, time, open, close, 'driver' AS note FROM (
-  SELECT c.thscode, CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS time,
-         CAST(l.l_quantity AS INTEGER) AS open,
-         CASE WHEN l.l_linenumber < 5 THEN l.l_linenumber END AS close
-  FROM lineitem l JOIN codes c ON l.l_suppkey = c.s_suppkey) x""")
+SELECT c.thscode, CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS time,
+       CASE WHEN i = 0 THEN CAST(l.l_quantity AS INTEGER) WHEN i = 1 THEN l.l_linenumber END AS open,
+       CASE WHEN i = 0 THEN l.l_linenumber END AS close, l.l_returnflag AS note
+FROM lineitem l JOIN codes c ON l.l_suppkey = c.s_suppkey, range(0, 2) g(i)""")
 def _(r: Roles) -> DataFrame:
-    """Responses of one code and date, with ragged lists and a short time list."""
+    """One landed response per line, with ragged lists and a short time list."""
     lines = r.table("lineitem").join(r.codes, F.expr("l_suppkey = s_suppkey"))
-    row = F.struct(
-        (F.col("l_linenumber") >= 5).alias("late"),
-        F.col("l_quantity").cast("int").alias("open"), F.col("l_linenumber").alias("close"),
-    )
-    grouped = lines.groupBy("thscode", F.to_date("l_shipdate").alias("day")).agg(
-        F.array_sort(F.collect_list(row)).alias("rows")
-    )
-    shown = F.filter("rows", lambda x: ~x["late"])
+    day = F.to_date("l_shipdate")
     item = F.struct(
-        "thscode", F.array(F.date_format("day", "yyyy-MM-dd")).alias("time"),
+        "thscode", F.array(F.date_format(day, "yyyy-MM-dd")).alias("time"),
         F.struct(
-            F.transform("rows", lambda x: x["open"]).alias("open"),
-            F.transform(shown, lambda x: x["close"]).alias("close"),
-            F.lit("driver").alias("note"),
+            F.array(F.col("l_quantity").cast("int"), "l_linenumber").alias("open"),
+            F.array("l_linenumber").alias("close"),
+            F.col("l_returnflag").alias("note"),
         ).alias("table"),
     )
-    landed = grouped.select(F.to_json(F.struct(F.array(item).alias("tables"))).alias("body"))
+    landed = lines.select(F.to_json(F.struct(F.array(item).alias("tables"))).alias("body"))
     rows = flatten_tables(landed, "body", ["open", "close", "note"])
     return rows.select(
         "thscode", "time", F.col("open").cast("int").alias("open"),
