@@ -91,11 +91,15 @@ def universe(r: Roles) -> DataFrame:
 
 
 def reference(r: Roles) -> DataFrame:
-    listed = r.universe.select("as_of_date", "thscode")
+    return listed_reference(r, r.universe)
+
+
+def listed_reference(r: Roles, listed: DataFrame) -> DataFrame:
     facts = r.security_reference.select(
         "thscode", "listing_date", "total_shares", "float_a_shares"
     )
-    return listed.join(facts, "thscode").withColumns({
+    keys = listed.select("as_of_date", "thscode")
+    return keys.join(facts, "thscode").withColumns({
         "source_provider": F.lit("driver"), "source_endpoint": F.lit("supplier"),
     })
 
@@ -121,6 +125,7 @@ def status(r: Roles) -> DataFrame:
 
 
 def state_inputs(r: Roles) -> StateInputs:
+    r = r.staged()
     return StateInputs(
         history=quotes(r),
         reference=r.security_reference,
@@ -139,13 +144,16 @@ def stock_state(r: Roles) -> DataFrame:
 
 
 def gate_inputs(r: Roles) -> G.GateInputs:
-    listed = universe(r)
+    """The five tables, written once before the gate as in the daily job."""
+    r = r.staged()
+    listed = stage(universe(r), "universe")
+    raw = listed_reference(r, listed)
     return G.GateInputs(
         universe=listed,
-        reference=N.normalize_security_reference(reference(r), listed),
+        reference=stage(N.normalize_security_reference(raw, listed), "reference"),
         quotes=quotes(r),
         calendar=calendar(r),
-        status=ST.build_daily_security_status(listed, r.daily_quotes),
+        status=stage(ST.build_daily_security_status(listed, r.daily_quotes), "status"),
     )
 
 

@@ -7,6 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pitpanel.functions.stages import stage
+
 
 def _hours(day: str, hours: int):
     return F.expr(f"CAST({day} AS TIMESTAMP_NTZ) + INTERVAL '{hours}' HOUR")
@@ -18,6 +20,13 @@ class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def staged(self) -> "Roles":
+        """The same roles with bars and quotes written once, as a job would."""
+        out = Roles(self.spark, self.sf_dir)
+        out.__dict__["bar_keys"] = stage(self.bar_keys, "bar_keys")
+        out.__dict__["daily_quotes"] = stage(self.daily_quotes, "daily_quotes")
+        return out
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
