@@ -3,7 +3,7 @@
 Every source is cut into blocks: ranges of a hash of the document, so blocks are
 random, about equal and need no shuffle. A source's target gives it whole epochs
 over all its blocks and a part of a further one; the block that the target falls
-into is cut between two documents. The block quotas of all sources form one
+into gives the documents that fit. The block quotas of all sources form one
 vector. A tree halves the output shards again and again, and at each fork the left
 half draws its blocks from the vector without replacement (multivariate
 hypergeometric), so that shard quotas add up exactly. Each shard then takes
@@ -15,6 +15,7 @@ from __future__ import annotations
 from itertools import cycle
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,11 +65,32 @@ def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray
     return np.array(split(np.array(quotas, np.int64), 0, shards))
 
 
+def fill(docs: pd.DataFrame) -> pd.DataFrame:
+    """Documents of a source's edge block, in hash order, that fit what its target leaves.
+
+    The group is one block: about ``BLOCK_DOCS`` documents, repeats merged.
+    """
+    docs = docs.sort_values("u")
+    left, more = float(docs["rest"].iloc[0] - docs["before"].iloc[0]), []
+    least = None
+    for u, size in zip(docs["u"], docs["size"], strict=True):
+        if 0 < size <= left:
+            more.append(u)
+            left -= size
+        elif size > 0 and (least is None or size < least[0]):
+            least = (size, u)
+    # One too many where that comes nearer.
+    if least and least[0] < 2 * left:
+        more.append(least[1])
+    return pd.DataFrame({"k": [docs["k"].iloc[0]], "block": [int(docs["block"].iloc[0])], "more": [more]})
+
+
 def mixing_plan(slim: DataFrame, weights: tuple[float, ...], most: int, shards: int, seed: int) -> DataFrame:
-    """One row per source: k, source_size, target, epochs, blocks, and where its last draw ends.
+    """One row per source: pk, source_size, target, epochs, blocks, last, more, shard_starts.
 
     ``slim`` is a written table of k (source key), size and u (hash as a number
-    from 0 up to 1). u_end is the hash up to which documents are drawn once more.
+    from 0 up to 1). Documents of the blocks before ``last``, and those of block
+    ``last`` whose hash is in ``more``, are drawn once more than ``epochs``.
     """
     spark = slim.sparkSession
     sources = slim.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
@@ -94,17 +116,9 @@ def mixing_plan(slim: DataFrame, weights: tuple[float, ...], most: int, shards:
         .where("words > 0 and upto - words < rest and upto >= rest")
         .select(F.col("k").alias("ek"), F.col("block").alias("eblock"), (F.col("upto") - F.col("words")).alias("before"))
     )
-    inside = Window.partitionBy("k").orderBy("u")
-    cut = (
-        tagged.join(edge, F.col("k").eqNullSafe(F.col("ek")) & (F.col("block") == F.col("eblock")))
-        .groupBy("k", "u", "before", "rest", "block").agg(F.sum("size").alias("size"))
-        .withColumn("upto", F.col("before") + F.sum("size").over(inside))
-        # A document is drawn when that brings the sum nearer to the target.
-        .where("upto - size / 2 <= rest")
-        .groupBy("k").agg(F.max("u").alias("u_end")).withColumnRenamed("k", "ck")
-    )
-    edges = edge.join(cut, F.col("ek").eqNullSafe(F.col("ck")), "left").select("ek", "eblock", "u_end")
-    ends = {r.ek: (r.eblock, r.u_end) for r in edges.collect()}
+    inside = tagged.join(edge, F.col("k").eqNullSafe(F.col("ek")) & (F.col("block") == F.col("eblock")))
+    inside = inside.groupBy("k", "u", "before", "rest", "block").agg(F.sum("size").alias("size"))
+    ends = {r.k: (r.block, r.more) for r in inside.groupBy("k").applyInPandas(fill, "k string, block long, more array<double>").collect()}
     quotas = []
     for k, _, _, epochs, blocks, rest in plan:
         quotas.append(epochs * blocks + (ends[k][0] + 1 if k in ends else blocks if rest > 0 else 0))
@@ -112,14 +126,9 @@ def mixing_plan(slim: DataFrame, weights: tuple[float, ...], most: int, shards:
     starts = np.cumsum(quota, axis=0) - quota
     done = []
     for i, (k, total, target, epochs, blocks, rest) in enumerate(plan):
-        if k in ends:
-            last, u_end = ends[k]
-            # The edge block's first document may already be too large: then only what is before it.
-            end = float(np.nextafter(last / blocks, -1.0)) if u_end is None else u_end
-        else:
-            end = 2.0 if rest > 0 and total else -1.0
-        done.append((k, total, target, epochs, blocks, end, [int(x) for x in starts[1:, i]]))
-    kinds = "pk string, source_size long, target double, epochs int, blocks long, u_end double, shard_starts array<long>"
+        last, more = ends.get(k, (blocks if rest > 0 and total else 0, []))
+        done.append((k, total, target, epochs, blocks, last, more, [int(x) for x in starts[1:, i]]))
+    kinds = "pk string, source_size long, target double, epochs int, blocks long, last long, more array<double>, shard_starts array<long>"
     return spark.createDataFrame(done, kinds)
 
 
@@ -149,7 +158,8 @@ def draws(
     plan = mixing_plan(
         held.select(at(k).alias("k"), at(size).alias("size"), at(u).alias("u")), weights, most, shards, seed
     )
-    once_more = (at(u) <= F.col("u_end")).cast("int")
+    block = F.least(F.floor(at(u) * F.col("blocks")), F.col("blocks") - 1)
+    once_more = ((block < F.col("last")) | F.array_contains("more", at(u))).cast("int")
     return held.join(plan, at(k).eqNullSafe(F.col("pk")), "left").select(
         *[at(c) for c in (kept or [id_col])],
         at(size).alias("__size"), at(u).alias("__u"), F.col("source_size").alias("__source_size"),
