@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitpanel.llm import exact_dedup, language_id, mixing, packing
+from pitpanel.llm import exact_dedup, language_id, mixing, ngram_join, packing
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("low_id").alias("component_id")
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
@@ -32,6 +39,7 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mixing": op8_mixing,
