@@ -14,6 +14,7 @@ import base64
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,9 @@ PIECES = "id {kind}, piece int, start long, length long, ids binary"
 RANK_ROWS = 20_000
 
 
+@lru_cache(maxsize=1)
 def encoder(vocabulary: str):
-    """The tokenizer of the vocabulary file, named or given by its path."""
+    """The tokenizer of the vocabulary file, named or given by its path; one a worker."""
     import public_tokenizers
     import tiktoken
 
