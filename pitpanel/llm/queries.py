@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import exact_dedup, language_id, mixing, ngram_join, packing
+from pitpanel.llm import exact_dedup, language_id, mixing, ngram_join, packing, toxicity, url_filter
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,9 +38,19 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.page_languages(read(spark, sf_dir, "pages"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_url_filter": op5_url_filter,
+    "op10_toxicity": op10_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
