@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm import exact_dedup, language_id, mixing, ngram_join, packing, toxicity, url_filter
+from pitpanel.llm import (
+    chat_format, exact_dedup, language_id, mixing, ngram_join, packing, toxicity, url_filter, vector_search,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +40,14 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.page_languages(read(spark, sf_dir, "pages"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(read(spark, sf_dir, "conversations"))
+
+
+def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.searched(read(spark, sf_dir, "embeddings"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged_pages(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
 
@@ -49,6 +59,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_chat_format": op4_chat_format,
+    "op7_vector_search": op7_vector_search,
     "op5_url_filter": op5_url_filter,
     "op10_toxicity": op10_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
@@ -58,6 +70,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_chat_format": chat_format.SQL,
     "op6_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
