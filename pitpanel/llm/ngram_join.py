@@ -10,9 +10,13 @@ also signs in the band below when a smaller partner may be there.
 
 Empty contents are no signatures: a set needs one usable part more than its
 differences can spoil. The few sets that have fewer sign their empty parts too,
-but only for each other. Contents that more than ``COMMON`` sets sign (passages)
-are dropped by every set that has enough other parts, which loses no pair; only
-sets made of little else keep them. So no signature's group grows with a passage.
+but only for each other. Of a set's contents in the order of their hashes, those
+beyond what its differences can spoil and a reserve aren't signed: similar sets
+share some of the first ones, and as many more as the reserve has. Contents that
+more than ``COMMON`` sets sign (passages) are dropped by every set whose reserve
+covers them, which loses no pair; only sets made of little else keep them. So no
+signature's group grows with a passage, and a chance meeting in a few signatures is
+no candidate: similar sets share at least one more than what is left of the reserve.
 
 Sets of one signature are first checked against their smallest member: near copies
 become one component by a linear number of checks. Only what is still apart is
@@ -24,7 +28,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
-from math import comb, exp, sqrt
+from math import ceil, comb, exp, sqrt
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -46,6 +51,9 @@ MAX_HEAVY, TRACKED = 1000, 50_000
 ENUMERATED = (6,)
 #: Usable parts beyond what is needed, by cells a part: standard deviations and a factor.
 SPARE_SD, SPARE = {1: 4.0, 3: 2.5}, {1: 1.12, 3: 1.05}
+#: Signatures beyond the needed ones, as a share of these: to be shared by similar
+#: sets, and to make up for common ones.
+RESERVE, SLACK = 0.06, 0.06
 #: Entries of a task's word-hash memo.
 MEMO = 1 << 20
 
@@ -119,8 +127,18 @@ def shape(band: int) -> tuple[int, int, int]:
     return n1, n2, k2
 
 
-def signed(s: np.ndarray, band: int, differences: int) -> tuple[np.ndarray, int, np.ndarray]:
-    """Signatures of a set in a band, usable parts to spare, and signatures of its other parts."""
+class Signed(NamedTuple):
+    """Signatures of a set in a band, and how many it could lack and still share one ..."""
+
+    sigs: np.ndarray
+    spare: int
+    reserve: int
+    """... or share more than this many; signatures of the parts that are no use."""
+    other: np.ndarray
+
+
+def signed(s: np.ndarray, band: int, differences: int) -> Signed:
+    """What a set signs in a band when a partner may differ in so many shingles."""
     n1, n2, k2 = shape(band)
     with np.errstate(over="ignore"):
         part = (s >> np.uint64(32)) * np.uint64(n1) >> np.uint64(32)
@@ -130,9 +148,15 @@ def signed(s: np.ndarray, band: int, differences: int) -> tuple[np.ndarray, int,
             first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             full = part[first].astype(np.int64)
             sums = np.add.reduceat(value, first)
-            sigs = mixed(sums + part[first] * _ODD[2] + np.uint64(band) * _ODD[3])
-            usable, bare = len(full), np.setdiff1d(np.arange(n1), full)
-            other = mixed(bare.astype(np.uint64) * _ODD[2] + np.uint64(band) * _ODD[4])
+            sigs = np.sort(mixed(sums + part[first] * _ODD[2] + np.uint64(band) * _ODD[3]))
+            needed = differences + 1
+            reserve = ceil(RESERVE * (2**band // 4 + 1))  # the same for all sets of a band
+            usable = min(len(sigs), needed + reserve + ceil(SLACK * needed) + 2)
+            sigs = sigs[:usable]
+            other = np.zeros(0, np.uint64)
+            if usable < needed:
+                bare = np.setdiff1d(np.arange(n1), full).astype(np.uint64)
+                other = mixed(bare * _ODD[2] + np.uint64(band) * _ODD[4])
         else:
             cell = (part * np.uint64(n2) + ((s & np.uint64(0xFFFFFFFF)) * np.uint64(n2) >> np.uint64(32))).astype(np.int64)
             sums = np.zeros(n1 * n2, np.uint64)
@@ -145,28 +169,27 @@ def signed(s: np.ndarray, band: int, differences: int) -> tuple[np.ndarray, int,
                 out.append(mixed(content + np.arange(n1, dtype=np.uint64) * _ODD[2] + np.uint64(band) * _ODD[3]))
                 full.append(there[:, cells].any(axis=1))
             out, full = np.stack(out), np.stack(full)
-            sigs, other = out[full], out[~full]
-            usable = int(full.all(axis=0).sum())
-    return sigs, usable - (differences // (k2 + 1) + 1), other
+            usable, needed, reserve = int(full.all(axis=0).sum()), differences // (k2 + 1) + 1, 1
+            sigs, other = out[full], out[~full] if usable < needed else np.zeros(0, np.uint64)
+    return Signed(sigs, usable - needed, reserve, other)
 
 
-def signatures(s: np.ndarray) -> tuple[np.ndarray, int]:
-    """All signatures of a set and how many common ones it can do without.
+def signatures(s: np.ndarray) -> tuple[np.ndarray, int, int, int]:
+    """All signatures of a set, how many common ones it can do without, how many when
+    it is still to share a reserve, and that reserve.
 
     Sets with fewer than 4 shingles are similar to equal sets only and sign nothing.
     """
     n = len(s)
     if n < 4:
-        return np.zeros(0, np.uint64), 0
+        return np.zeros(0, np.uint64), 0, 0, 0
     band = n.bit_length() - 1
-    own = signed(s, band, n // 4)
-    parts = [own]
+    parts = [signed(s, band, n // 4)]
     # A partner of the band below has at most 2 ** band - 1 and at least 4 n / 5 shingles.
     if 5 * (2**band - 1) >= 4 * n and 2**band - 1 >= 4:
         parts.append(signed(s, band - 1, 2 * n // 9))
-    spare = min(p[1] for p in parts)
-    bare = [p[2] for p in parts] if spare < 0 else []
-    return np.concatenate([*(p[0] for p in parts), *bare]), spare
+    sigs = np.concatenate([x for p in parts for x in (p.sigs, p.other)])
+    return sigs, min(p.spare for p in parts), min(p.spare - p.reserve for p in parts), min(p.reserve for p in parts)
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -219,35 +242,40 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def shared_signatures(sets: DataFrame) -> DataFrame:
-    """Signatures of two rows or more: sig, row, n, many (rows that sign it), low (the least of them).
+    """Signatures that may make a pair: sig, row, left (what is left of the row's reserve).
 
     The most frequent signatures, found by a sketch, are counted map-side; the
     others are shuffled once. Common ones are left to rows that can't spare them.
+    A row that keeps its reserve has, with another such row, more than the reserve
+    in common; where it shares fewer with anyone, it stays only for poorer rows.
     """
     rows = sets.select("row", F.explode("sigs").alias("sig"))
     sketch = rows.agg(F.expr(f"approx_top_k(sig, {MAX_HEAVY}, {TRACKED})").alias("top"))
     heavy = sketch.select(F.explode("top").alias("t")).where(F.col("t.count") > 20 * COMMON).select(F.col("t.item").alias("sig"))
     heavy = stage(
-        rows.join(F.broadcast(heavy), "sig", "left_semi").groupBy("sig")
-        .agg(F.count(F.lit(1)).alias("many"), F.min("row").alias("low")),
-        "heavy",
-    )
-    tagged = rows.join(F.broadcast(heavy), "sig", "left")
-    group = Window.partitionBy("sig")
-    light = tagged.where("many is null").select(
-        "sig", "row", F.count(F.lit(1)).over(group).alias("many"), F.min("row").over(group).alias("low")
+        rows.join(F.broadcast(heavy), "sig", "left_semi").groupBy("sig").agg(F.count(F.lit(1)).alias("many")), "heavy"
     )
-    many = stage(light.where("many > 1").unionByName(tagged.where("many is not null").select("sig", "row", "many", "low")), "shared")
-    hot = many.where(F.col("many") > COMMON)
-    poor = (
-        hot.groupBy("row").agg(F.count(F.lit(1)).alias("lost"))
-        .join(sets.select("row", "spare"), "row")
-        .where("lost > spare").select("row")
+    counted = F.broadcast(heavy)  # at most MAX_HEAVY rows
+    light = rows.join(counted, "sig", "left_anti").select(
+        "sig", "row", F.count(F.lit(1)).over(Window.partitionBy("sig")).alias("many")
+    ).where("many > 1")
+    many = light.unionByName(rows.join(counted, "sig").select("sig", "row", "many").where("many > 1"))
+    many = stage(many.select("sig", "row", (F.col("many") > COMMON).alias("common")), "shared")
+    state = (
+        many.groupBy("row").agg(F.count_if("common").alias("lost"), F.count_if(~F.col("common")).alias("shares"))
+        .join(sets.select("row", "spare", "rich", "reserve"), "row")
+        .select(
+            "row", (F.col("lost") <= F.col("spare")).alias("spares"), (F.col("lost") <= F.col("rich")).alias("rich"),
+            ((F.col("lost") <= F.col("rich")) & (F.col("shares") <= F.col("reserve"))).alias("alone"),
+            F.greatest(F.col("spare") - F.col("lost"), F.lit(0)).cast("int").alias("left"),
+        )
     )
-    kept = hot.join(poor, "row", "left_semi")
-    again = kept.groupBy("sig").agg(F.min("row").alias("low2"))
-    kept = kept.join(again, "sig").select("sig", "row", F.col("low2").alias("low"))
-    return many.where(F.col("many") <= COMMON).select("sig", "row", "low").unionByName(kept)
+    state = stage(state, "state")
+    known = many.join(state, "row").where(~(F.col("common") & F.col("spares")))
+    poor = stage(known.where(~F.col("rich")).select("sig").distinct(), "poor")
+    able = known.where(~F.col("alone")).select("sig", "row", "left")
+    alone = known.where("alone").join(poor, "sig", "left_semi").select("sig", "row", "left")
+    return able.unionByName(alone)
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,8 +294,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def with_descriptions(rows: DataFrame) -> DataFrame:
-    """Rows of (row, id, text_key, text) without the text, with n, digest, spare, sigs."""
-    @F.pandas_udf("n long, digest binary, spare int, sigs array<long>")
+    """Rows of (row, id, text_key, text) without the text, with n, digest, spare, rich, reserve, sigs."""
+    @F.pandas_udf("n long, digest binary, spare int, rich int, reserve int, sigs array<long>")
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for texts in batches:
@@ -275,9 +303,9 @@ def with_descriptions(rows: DataFrame) -> DataFrame:
             for part in chunks(texts):
                 for text in part:
                     s = shingle_set(text, hashes)
-                    sigs, spare = signatures(s)
-                    out.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, spare, sigs.view(np.int64)))
-            yield pd.DataFrame(out, columns=["n", "digest", "spare", "sigs"])
+                    sigs, *spare = signatures(s)
+                    out.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, *spare, sigs.view(np.int64)))
+            yield pd.DataFrame(out, columns=["n", "digest", "spare", "rich", "reserve", "sigs"])
 
     return rows.withColumn("d", describe("text")).select("row", "id", "text_key", "d.*")
 
@@ -293,26 +321,32 @@ def grouped(ids: DataFrame, held: DataFrame) -> DataFrame:
         "classes",
     )
     member = held.where("n >= 4").select("row", "digest", "n").join(classes.select("digest", "rep"), "digest").select("row", "rep", "n")
-    shared = shared_signatures(held.select("row", "spare", "sigs"))
+    shared = stage(shared_signatures(held.select("row", "spare", "rich", "reserve", "sigs")), "signed")
 
-    # First checks: everyone against the smallest of its signature.
-    stars = shared.where("row != low").select("row", "low").distinct()
-    stars = stage(as_pairs(stars, member), "stars")
+    # First checks: everyone against the smallest of its signature, where they share several.
+    low = F.min("row").over(Window.partitionBy("sig"))
+    stars = shared.withColumn("low", low).where("row != low").groupBy("row", "low").agg(
+        F.count(F.lit(1)).alias("common"), F.first("left").alias("left")
+    )
+    stars = stage(as_pairs(stars.where("2 * common > left"), member), "stars")
     sets = stage(sets_for(stars, ids, classes), "checked")
     edges = stage(linked(stars, sets), "links")
     roots = stage(components(edges), "roots")
 
-    # Second checks: pairs of a signature that are still apart and weren't checked.
+    # Second checks: pairs that are still apart, weren't checked, and share enough.
     named = (
-        shared.select("sig", "row").join(member, "row").join(roots, F.col("rep") == F.col("node"), "left")
-        .select("sig", "rep", "n", F.coalesce("root", "rep").alias("root"))
+        shared.join(member, "row").join(roots, F.col("rep") == F.col("node"), "left")
+        .select("sig", "rep", "n", "left", F.coalesce("root", "rep").alias("root"))
     )
     apart = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("sig")
     named = stage(named.join(apart, "sig", "left_semi").distinct(), "apart")
-    one = named.select("sig", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    two = named.select("sig", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    one, two = (
+        named.select("sig", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"), F.col("left").alias(f"l{x}"))
+        for x in "ab"
+    )
     rest = one.join(two, "sig").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near(F.col("na"), F.col("nb")))
-    rest = stage(rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"), "rest")
+    rest = rest.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first(F.least("la", "lb")).alias("left"))
+    rest = stage(rest.where("common > left").select("a", "b").join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = stage(sets_for(rest, ids, classes), "checked")
         edges = edges.unionByName(linked(rest, more))

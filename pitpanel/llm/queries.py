@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.llm import (
-    chat_format, exact_dedup, language_id, mixing, ngram_join, packing, toxicity, url_filter, vector_search,
+    chat_format, exact_dedup, html_extract, language_id, mixing, ngram_join, packing, toxicity, url_filter, vector_search,
 )
 
 
@@ -40,6 +40,10 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.page_languages(read(spark, sf_dir, "pages"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extracted(read(spark, sf_dir, "pages"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(read(spark, sf_dir, "conversations"))
 
@@ -59,6 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op2_html_extraction": op2_html_extraction,
     "op4_chat_format": op4_chat_format,
     "op7_vector_search": op7_vector_search,
     "op5_url_filter": op5_url_filter,
