@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm import boosting
-from pitpanel.llm.common import at
+from pitpanel.llm.common import at, ship
 
 #: Pages that the trees are fitted on, at most, and rearrangements of each.
 TRAIN_PAGES, VARIANTS = 240, 5
@@ -450,6 +450,7 @@ def main_texts(pages: DataFrame, html_col: str = "html", id_col: str = "page_id"
     pages are read. An empty table, or one without pages that mark their article,
     gives all text outside scripts and styles.
     """
+    ship(pages.sparkSession)
     trees = pages.sparkSession.sparkContext.broadcast(fit(pages, html_col, id_col, rows))  # a few thousand numbers
 
     @F.pandas_udf("string")

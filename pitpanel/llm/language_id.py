@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, chunks, fresh
+from pitpanel.llm.common import at, chunks, fresh, ship
 
 #: Trigrams are hashed into so many cells.
 CELLS = 1 << 15
@@ -125,13 +125,14 @@ def log_conditional(rows: DataFrame, key: str, classes: int, out: str, smooth: f
     """log P(key value | class) per value, counted from each row's text verdict."""
     sums = [F.sum((F.col("verdict") == i).cast("double")).alias(f"c{i}") for i in range(classes)]
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(*sums)
-    totals = counts.agg(F.count(F.lit(1)).alias("values"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(classes)])
-    logs = [F.log((F.col(f"c{i}") + smooth) / (F.col(f"t{i}") + smooth * F.col("values"))) for i in range(classes)]
-    return counts.join(F.broadcast(totals), how="inner", on=F.lit(True)).select(F.col(key).alias(f"{key}_k"), F.array(*logs).alias(out))
+    counts = stage(counts, key)
+    total = counts.agg(F.count(F.lit(1)).alias("values"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(classes)]).first()
+    logs = [F.log((F.col(f"c{i}") + smooth) / F.lit((total[f"t{i}"] or 0.0) + smooth * max(1, total["values"]))) for i in range(classes)]
+    return counts.select(F.col(key).alias(f"{key}_k"), F.array(*logs).alias(out))
 
 
-def shrunk_priors(rows: DataFrame, classes: int) -> DataFrame:
-    """P(class | host) per host, shrunk to domain, suffix and corpus: host_k, prior."""
+def shrunk_priors(rows: DataFrame, classes: int) -> tuple[DataFrame, list[float]]:
+    """P(class | host) per host, shrunk to domain, suffix and corpus (host_k, prior), and the corpus's."""
     each = [F.sum((F.col("verdict") == i).cast("double")).alias(f"n{i}") for i in range(classes)]
     hosts = rows.where("host is not null").groupBy("host", "domain", "suffix").agg(*each)
 
@@ -143,13 +144,12 @@ def shrunk_priors(rows: DataFrame, classes: int) -> DataFrame:
         return F.array(*[(F.col(f"n{i}") + SHRINK * F.col(prior)[i]) / (n + SHRINK) for i in range(classes)])
 
     domains, suffixes = up(hosts, ["domain", "suffix"]), up(hosts, ["suffix"])
-    whole = rows.agg(*each)
-    all_rows = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"n{i}"), F.lit(0.0)) for i in range(classes)])
-    flat = whole.select(F.array(*[(F.coalesce(F.col(f"n{i}"), F.lit(0.0)) + 1.0) / (all_rows + float(classes)) for i in range(classes)]).alias("p0"))
-    suffixes = suffixes.join(F.broadcast(flat), on=F.lit(True)).select("suffix", shrink("p0").alias("p1"))
+    whole = [n or 0.0 for n in rows.agg(*each).first()]
+    flat = [(n + 1.0) / (sum(whole) + classes) for n in whole]
+    suffixes = suffixes.withColumn("p0", F.array(*map(F.lit, flat))).select("suffix", shrink("p0").alias("p1"))
     domains = domains.join(suffixes, "suffix").select("domain", "suffix", shrink("p1").alias("p2"))
     hosts = hosts.join(domains, ["domain", "suffix"]).select(F.col("host").alias("host_k"), shrink("p2").alias("prior"))
-    return hosts.unionByName(flat.select(F.lit(None).cast("string").alias("host_k"), F.col("p0").alias("prior")))
+    return hosts, flat
 
 
 def identify(
@@ -166,7 +166,7 @@ def identify(
     probability; so null, empty and blank texts are rejected, as are rows of a
     table without any label. An empty table gives an empty result.
     """
-    spark = rows.sparkSession
+    ship(rows.sparkSession)
     languages, table = train(rows, text_col, label_col, id_col, train_rows)
     names, classes = [*languages, UNKNOWN], len(languages) + 1
     none = F.lit(None).cast("string")
@@ -187,23 +187,21 @@ def identify(
         best.alias("verdict"), dec.alias("declared"), hos.alias("host"), dom.alias("domain"), suf.alias("suffix")
     )
     # Small when there are few values; Spark broadcasts each only when its written size is small.
-    by_declared = stage(log_conditional(seen, "declared", classes, "ld"), "declared")
-    by_suffix = stage(log_conditional(seen, "suffix", classes, "ls"), "suffix")
-    by_host = stage(shrunk_priors(seen, classes), "hosts")
-    top = by_host.where("host_k is null").first()
-    flat = F.array(*[F.lit(float(x)) for x in (top.prior if top else [1.0 / classes] * classes)])
+    by_declared = log_conditional(seen, "declared", classes, "ld")
+    by_suffix = log_conditional(seen, "suffix", classes, "ls")
+    by_host, corpus = shrunk_priors(seen, classes)
+    by_host, flat = stage(by_host, "priors"), F.array(*map(F.lit, corpus))
     zero = F.array(*[F.lit(0.0)] * classes)
     joined = (
         held.join(by_declared, dec == F.col("declared_k"), "left")
         .join(by_suffix, suf == F.col("suffix_k"), "left")
-        .join(by_host.where("host_k is not null"), hos == F.col("host_k"), "left")
+        .join(by_host, hos == F.col("host_k"), "left")
     )
     d, s, p = F.coalesce("ld", zero), F.coalesce("ls", zero), F.coalesce("prior", flat)
     logs = F.array(*[F.get(ev, F.lit(i)) + F.get(d, F.lit(i)) + F.get(s, F.lit(i)) + F.log(F.get(p, F.lit(i))) for i in range(classes)])
     joined = joined.withColumn("__logs", logs).withColumn("__most", F.array_max("__logs"))
     total = F.aggregate(F.transform("__logs", lambda x: F.exp(x - F.col("__most"))), F.lit(0.0), lambda a, x: a + x)
     wanted = list(accept) if accept is not None else languages
-    del spark
     return joined.select(
         *[at(c) for c in rows.columns],
         F.when(~blank, F.element_at(F.array(*[F.lit(x) for x in names]), F.array_position("__logs", F.col("__most")).cast("int"))).alias("__language"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, fresh, word_count
+from pitpanel.llm.common import at, fresh, ship, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -93,6 +93,7 @@ def mixing_plan(slim: DataFrame, weights: tuple[float, ...], most: int, shards:
     ``last`` whose hash is in ``more``, are drawn once more than ``epochs``.
     """
     spark = slim.sparkSession
+    ship(spark)
     sources = slim.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
     rows = sources.limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, chunks
+from pitpanel.llm.common import at, chunks, ship
 
 WORDS = 5
 #: Similarity as a fraction; the bounds on differences in this module are for it.
@@ -284,6 +284,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     root is the row that stands for the group of rows linked directly or in steps;
     low_id the smallest id of the group. Rows without words stand alone.
     """
+    ship(docs.sparkSession)
     ids = docs.select(at(id_col).alias("id"), at(text_col).cast("string").alias("text"))
     numbered = ids.withColumn("row", F.monotonically_increasing_id())
     held = stage(

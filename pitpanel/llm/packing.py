@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, chunks, fresh
+from pitpanel.llm.common import at, chunks, fresh, ship
 
 CAPACITY = 1024
 END_ID = 2
@@ -84,6 +84,7 @@ def token_pieces(
                 frame["id"] = frame["id"].astype(batch["id"].dtype)
                 yield frame
 
+    ship(docs.sparkSession)
     rows = docs.select(at(id_col).alias("id"), at(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     # A missing id would turn whole numbers into floats in pandas.
@@ -220,6 +221,7 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
     clash with the two added ones are replaced. An empty table gives none.
     """
     spark = pieces.sparkSession
+    ship(spark)
     row, chunk, number, before = fresh(pieces, "row", "chunk", "number", "before")
     held = stage(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
     counted = {r[0]: r[1] for r in held.groupBy(at(length_col).cast("long")).count().collect()}

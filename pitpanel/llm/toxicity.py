@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, chunks
+from pitpanel.llm.common import at, chunks, ship
 
 #: Labelled rows that the model is fitted on, at most: a documented bound.
 TRAIN_ROWS = 12_000
@@ -194,6 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     Tokens are counted by document. The law and the odds come from documents of
     one half scored by tokens of the other, so known words don't flatter them.
     """
+    ship(docs.sparkSession)
     train = stage(training_rows(docs, labels, id_col, text_col, rows), "train")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -237,6 +238,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     null or empty text has no words; its score is that of a text without passages.
     """
     spark = docs.sparkSession
+    ship(spark)
     shared = spark.sparkContext.broadcast(model)  # at most TOKENS entries
     kind = "score double, words long, passages array<struct<start: int, end: int, sum: double, chance: double>>"
 

@@ -72,7 +72,7 @@ def rule_for(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> tup
     return text, verdict
 
 
-def strength(groups: DataFrame, prior: str) -> Column:
+def strength(prior: str) -> Column:
     """Aggregate: pseudo-outcomes of a beta prior for groups with n, b and a prior mean.
 
     The moment estimate of the correlation of two outcomes of a group: what the
@@ -88,8 +88,8 @@ def strength(groups: DataFrame, prior: str) -> Column:
     return (1 - rho) / rho
 
 
-def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Posterior (a, c) of the bad rate by host, domain and suffix, and of the corpus.
+def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Posterior (a, c) of the bad rate by host, domain and suffix.
 
     ``outcomes``: host and bad (boolean), one row per labelled page; counts are
     combined map-side, so a host with very many pages costs no more than others.
@@ -101,21 +101,21 @@ def reputations(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     )
     hosts = stage(hosts, "hosts")
     both = [F.sum("n").alias("n"), F.sum("b").alias("b")]
-    corpus = hosts.agg(*both).select(((F.coalesce("b", F.lit(0.0)) + 1) / (F.coalesce("n", F.lit(0.0)) + 2)).alias("m0"))
+    whole = hosts.agg(*both).first()
+    corpus = ((whole.b or 0.0) + 1) / ((whole.n or 0.0) + 2)
 
     def level(groups: DataFrame, prior: str, out: str) -> DataFrame:
-        # One row, so its broadcast is bounded.
-        s = groups.agg(strength(groups, prior).alias("s"))
-        rated = groups.join(F.broadcast(s), on=F.lit(True))
-        a, c = F.col("b") + F.col("s") * F.col(prior), F.col("n") - F.col("b") + F.col("s") * (1 - F.col(prior))
-        return rated.withColumns({"a": a, "c": c, out: a / (a + c)})
+        groups = stage(groups, out)
+        s = F.lit(groups.agg(strength(prior).alias("s")).first().s or 1.0)
+        a, c = F.col("b") + s * F.col(prior), F.col("n") - F.col("b") + s * (1 - F.col(prior))
+        return groups.withColumns({"a": a, "c": c, out: a / (a + c)})
 
-    suffixes = hosts.groupBy("suffix").agg(*both).join(F.broadcast(corpus), on=F.lit(True))
+    suffixes = hosts.groupBy("suffix").agg(*both).withColumn("m0", F.lit(corpus))
     suffixes = level(suffixes, "m0", "m1").select("suffix", "a", "c", "m1")
     domains = hosts.groupBy("domain", "suffix").agg(*both).join(suffixes.select("suffix", "m1"), "suffix")
     domains = level(domains, "m1", "m2").select("domain", "a", "c", "m2")
     rated = level(hosts.join(domains.select("domain", "m2"), "domain"), "m2", "m3").select("host", "a", "c")
-    return rated, domains.select("domain", "a", "c"), suffixes.select("suffix", "a", "c"), corpus
+    return rated, domains.select("domain", "a", "c"), suffixes.select("suffix", "a", "c")
 
 
 def judge(
@@ -129,13 +129,13 @@ def judge(
     is held against it. Columns of ``pages`` that clash with the added ones are
     replaced. Rows without a host are judged by the empty host.
     """
-    rated, domains, suffixes, _ = reputations(outcomes)
+    rated, domains, suffixes = reputations(outcomes)
     # Written, so that Spark knows their sizes and broadcasts small ones only.
     rated = stage(rated, "rated").toDF("h_key", "h_a", "h_c")
     domains = stage(domains, "domains").toDF("d_key", "d_a", "d_c")
     suffixes = stage(suffixes, "suffixes").toDF("s_key", "s_a", "s_c")
     held = [c for c in pages.columns if c.lower() not in {"host", "path", "rule", "verdict", "bad_rate", "bound"} or c == url_col]
-    url, host, path = fresh(pages, "u", "judged_host", "judged_path")
+    host, path = fresh(pages, "judged_host", "judged_path")
     h, p = host_and_path(at(url_col).cast("string"))
     rows = pages.select(*[at(c) for c in held], h.alias(host), p.alias(path))
     rows = (

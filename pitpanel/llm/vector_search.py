@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at
+from pitpanel.llm.common import at, ship
 
 NEAREST = 10
 TREES, CHARACTERS = 64, 32
@@ -122,6 +122,7 @@ def nearest_vectors(
     length are never compared. A query isn't its own neighbour, nor is any row
     that repeats its id. Ties go to the smaller id.
     """
+    ship(vectors.sparkSession)
     rows = vectors.select(
         at(id_col).cast("long").alias("id"), at(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")
     ).where(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v"))
