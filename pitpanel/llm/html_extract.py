@@ -116,6 +116,12 @@ def attribute_words(attrs: str) -> tuple[int, int]:
     return around, inside
 
 
+def after(html: str, tag: str, start: int) -> int:
+    """Where the content of a dropped element ends; what is never closed is raw text or nothing."""
+    end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, start)
+    return end.end() if end else len(html) if tag in ("script", "style") else start
+
+
 def parse(html: str) -> Page:
     """Blocks of text and the tree of block elements; closing tags may be missing."""
     tags, parents, ends, own, blocks = ["#page"], [-1], [0], [[0.0] * 12], []
@@ -143,7 +149,7 @@ def parse(html: str) -> Page:
             ends[stack.pop()] = len(tags)
 
     last = 0
-    for m in TOKEN.finditer(html):
+    while m := TOKEN.search(html, last):
         if not skip and m.start() > last:
             piece = html[last : m.start()]
             inline.append(piece)
@@ -157,14 +163,20 @@ def parse(html: str) -> Page:
         if skip:
             if closing and tag == skip:
                 skip = ""
-            elif skip == "head" and not closing and tag in BLOCKS and tag not in ("html",):
+            elif not closing and tag in BLOCKS and tag != "html":
                 skip = ""  # a head that was never closed
+            elif not closing and tag in DROPPED and tag != "head":
+                last = after(html, tag, last)
             if skip or closing:
                 continue
         if tag in DROPPED:
-            if not closing and tag not in VOID and not (m["attrs"] or m["attrs2"] or "").endswith("/"):
-                skip = tag
             inline.append(" ")
+            if closing or (m["attrs"] or m["attrs2"] or "").endswith("/"):
+                continue
+            if tag == "head":
+                skip = tag
+            else:
+                last = after(html, tag, last)
             continue
         if tag not in BLOCKS:
             if tag == "a":

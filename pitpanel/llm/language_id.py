@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, chunks, fresh, ship
+from pitpanel.llm.common import WORD, at, chunks, fresh, ship
 
 #: Trigrams are hashed into so many cells.
 CELLS = 1 << 15
@@ -177,7 +177,7 @@ def identify(
             text_evidence(table)(at(text_col).cast("string")),
             F.lower(declared) if declared is not None else none,
             host if host is not None else none, domain, suffix,
-            F.length(F.trim(F.coalesce(at(text_col).cast("string"), F.lit("")))) == 0,
+            ~F.coalesce(at(text_col).cast("string"), F.lit("")).rlike(WORD),
         ), strict=True))),
         "language",
     )
