@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where it is unset."""
+    """``spark.checkpoint.dir``; in local mode a temporary folder where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-pitpanel-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions.keys import latest_per_key
 
-FIRST_DAY = dt.date(1900, 1, 1)
-LAST_DAY = dt.date(2199, 12, 31)
-# Days since FIRST_DAY fit in 17 bits.
-_LEVELS = 17
+# All days that a DATE holds, but for the last one: a day after an end is a date too.
+FIRST_DAY = dt.date(1, 1, 1)
+LAST_DAY = dt.date(9999, 12, 30)
+# Days since FIRST_DAY fit in 22 bits.
+_LEVELS = 22
 
 
 def known_by(df: DataFrame, date: dt.date | Column) -> DataFrame:
@@ -42,7 +43,7 @@ def active_on(df: DataFrame, date: dt.date) -> DataFrame:
 
 def usable_intervals(df: DataFrame) -> DataFrame:
     """Add the clipped ``first_day`` and ``last_day`` of use; drop empty intervals."""
-    low, high = F.lit(FIRST_DAY), F.lit(LAST_DAY)
+    low, high = F.expr(f"DATE '{FIRST_DAY}'"), F.expr(f"DATE '{LAST_DAY}'")
     first = F.greatest(F.coalesce("effective_from", low), "decision_date", low)
     last = F.least(F.coalesce("effective_to", high), high)
     return (
@@ -78,7 +79,7 @@ def _breakpoints(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _as_segments(points: DataFrame, keys: Sequence[str]) -> DataFrame:
     following = F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))
-    last = F.coalesce(F.date_sub(following, 1), F.lit(LAST_DAY))
+    last = F.coalesce(F.date_sub(following, 1), F.expr(f"DATE '{LAST_DAY}'"))
     return points.withColumn("segment_to", last).withColumnRenamed(
         "day", "segment_from"
     )

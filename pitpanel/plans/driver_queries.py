@@ -161,7 +161,7 @@ def gate_inputs(r: Roles) -> G.GateInputs:
 
 
 @query("exchange_board_codes", f"""
-SELECT thscode, true AS listed, {EXCHANGE} AS exchange, {BOARD} AS board FROM codes""")
+SELECT thscode, regexp_full_match(thscode, '[0-9]{{6}}[.](SH|SZ|BJ)') AS listed, {EXCHANGE} AS exchange, {BOARD} AS board FROM codes""")
 def _(r: Roles) -> DataFrame:
     raw = r.codes.select(F.concat(F.lit("  "), F.lower("thscode")).alias("raw"))
     code = F.col("thscode")
@@ -234,10 +234,12 @@ def _(r: Roles) -> DataFrame:
 
 @query("as_of_snapshot", """
 SELECT t.trade_date, m.as_of_date, m.code_count FROM trade_dates t
-ASOF LEFT JOIN (SELECT as_of_date, count(*) AS code_count FROM universe
-                WHERE day(as_of_date) <= 3 GROUP BY 1) m ON t.trade_date >= m.as_of_date""")
+ASOF LEFT JOIN (SELECT CAST(date_trunc('month', as_of_date) AS DATE) AS as_of_date,
+                       count(DISTINCT thscode) AS code_count FROM universe GROUP BY 1) m
+  ON t.trade_date >= m.as_of_date""")
 def _(r: Roles) -> DataFrame:
-    snapshots = universe(r).where(F.dayofmonth("as_of_date") <= 3)
+    month = F.trunc("as_of_date", "MM").alias("as_of_date")
+    snapshots = universe(r).select(month, "thscode").distinct()
     chosen = TP.snapshot_for_dates(r.trade_dates, snapshots)
     sizes = snapshots.groupBy("as_of_date").agg(F.count(F.lit(1)).alias("code_count"))
     return chosen.join(sizes, "as_of_date", "left").select(
@@ -842,13 +844,14 @@ def _(r: Roles) -> DataFrame:
 @query("missing_partitions", """
 SELECT t.trade_date FROM trade_dates t
 WHERE NOT (EXISTS (SELECT 1 FROM orders o WHERE CAST(o_orderdate AS DATE) = t.trade_date
-                   AND o_orderstatus = 'F')
+                   AND o_orderstatus IN ('F', 'P'))
            AND EXISTS (SELECT 1 FROM orders o WHERE CAST(o_orderdate AS DATE) = t.trade_date
-                       AND o_orderstatus = 'O'))""")
+                       AND o_orderstatus IN ('O', 'P')))""")
 def _(r: Roles) -> DataFrame:
     orders = r.table("orders").withColumn("as_of_date", F.to_date("o_orderdate"))
     return CA.missing_partitions(
-        r.trade_dates, orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'O'")
+        r.trade_dates, orders.where("o_orderstatus IN ('F', 'P')"),
+        orders.where("o_orderstatus IN ('O', 'P')"),
     )
 
 
@@ -981,10 +984,12 @@ def _(r: Roles) -> DataFrame:
 
 
 def explorer(r: Roles) -> DataFrame:
-    listed = universe(r)
+    """Quotes and universe feed all three inputs, so each is written once."""
+    r = r.staged()
+    listed = stage(universe(r), "universe")
     return explorer_rows(
         ST.build_daily_security_status(listed, r.daily_quotes),
-        N.normalize_security_reference(reference(r), listed), r.daily_quotes,
+        N.normalize_security_reference(listed_reference(r, listed), listed), r.daily_quotes,
     )
 
 

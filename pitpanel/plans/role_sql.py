@@ -27,7 +27,7 @@ view("codes", """
 SELECT s_suppkey, s_name, s_acctbal, s_nationkey,
        CASE s_suppkey % 5 WHEN 0 THEN '600' WHEN 1 THEN '688' WHEN 2 THEN '000'
             WHEN 3 THEN '300' ELSE '920' END
-       || lpad(CAST(s_suppkey AS VARCHAR), 3, '0')
+       || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(3, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0')
        || CASE s_suppkey % 5 WHEN 0 THEN '.SH' WHEN 1 THEN '.SH' WHEN 2 THEN '.SZ'
                WHEN 3 THEN '.SZ' ELSE '.BJ' END AS thscode
 FROM supplier""")
@@ -102,7 +102,7 @@ SELECT DISTINCT c.thscode, 'RF_' || l_returnflag || l_linestatus AS event_type,
        CAST(l_shipdate AS DATE) AS effective_at,
        CASE WHEN l_linenumber % 4 = 0 THEN CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL '15' HOUR
             ELSE CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL '9' HOUR END AS known_at
-FROM lineitem JOIN codes c ON l_suppkey = c.s_suppkey WHERE l_returnflag <> 'N'""")
+FROM lineitem JOIN codes c ON l_suppkey = c.s_suppkey""")
 view("industry_membership", """
 SELECT c.thscode, 'SW1' AS level, 'R' || CAST(r_regionkey AS VARCHAR) AS industry_code,
        r_name AS industry_name, DATE '1995-01-01' AS effective_from,

@@ -39,7 +39,8 @@ class Roles:
         )
         suffix = F.when(kind < 2, ".SH").when(kind < 4, ".SZ").otherwise(".BJ")
         number = F.col("s_suppkey").cast("string")
-        padded = F.lpad(number, 3, "0")
+        # Padded but never cut: every supplier has a code of its own.
+        padded = F.lpad(number, F.greatest(F.length(number), F.lit(3)), "0")
         code = F.concat(prefix, padded, suffix)
         return self.table("supplier").select(
             "s_suppkey", "s_name", "s_acctbal", "s_nationkey", code.alias("thscode")
@@ -155,7 +156,7 @@ class Roles:
 
     @cached_property
     def corporate_actions(self) -> DataFrame:
-        lines = self.table("lineitem").where("l_returnflag <> 'N'")
+        lines = self.table("lineitem")
         day = F.to_date("l_shipdate")
         late = F.col("l_linenumber") % 4 == 0
         return (
