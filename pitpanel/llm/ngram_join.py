@@ -20,13 +20,15 @@ no candidate: similar sets share at least one more than what is left of the rese
 
 Sets of one signature are first checked against their smallest member: near copies
 become one component by a linear number of checks. Only what is still apart is
-paired. Every pair is checked exactly on the sets.
+paired. A parity sketch of every set goes along: two sets differ at least in as many
+shingles as their sketches do in bits, so dissimilar variants of one text fail the
+join's own condition and are never pairs. Every pair is checked exactly on the sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 from math import ceil, comb, exp, sqrt
 from typing import NamedTuple
@@ -54,6 +56,8 @@ SPARE_SD, SPARE = {1: 4.0, 3: 2.5}, {1: 1.12, 3: 1.05}
 #: Signatures beyond the needed ones, as a share of these: to be shared by similar
 #: sets, and to make up for common ones.
 RESERVE, SLACK = 0.06, 0.06
+#: Words of 64 bits in a set's parity sketch.
+SKETCH = 8
 #: Entries of a task's word-hash memo.
 MEMO = 1 << 20
 
@@ -192,6 +196,12 @@ def signatures(s: np.ndarray) -> tuple[np.ndarray, int, int, int]:
     return sigs, min(p.spare for p in parts), min(p.spare - p.reserve for p in parts), min(p.reserve for p in parts)
 
 
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """One bit per cell of the hash domain: whether the set has an odd number of shingles there."""
+    odd = np.bincount(((s >> np.uint64(17)) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sets_of(docs: DataFrame) -> DataFrame:
     """Per row of (key, text): key and its shingle set as an array."""
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -296,7 +306,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def with_descriptions(rows: DataFrame) -> DataFrame:
     """Rows of (row, id, text_key, text) without the text, with n, digest, spare, rich, reserve, sigs."""
-    @F.pandas_udf("n long, digest binary, spare int, rich int, reserve int, sigs array<long>")
+    @F.pandas_udf("n long, digest binary, spare int, rich int, reserve int, sigs array<long>, sketch array<long>")
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for texts in batches:
@@ -305,10 +315,12 @@ def with_descriptions(rows: DataFrame) -> DataFrame:
                 for text in part:
                     s = shingle_set(text, hashes)
                     sigs, *spare = signatures(s)
-                    out.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, *spare, sigs.view(np.int64)))
-            yield pd.DataFrame(out, columns=["n", "digest", "spare", "rich", "reserve", "sigs"])
+                    out.append((len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, *spare, sigs.view(np.int64), parity_sketch(s)))
+            yield pd.DataFrame(out, columns=["n", "digest", "spare", "rich", "reserve", "sigs", "sketch"])
 
-    return rows.withColumn("d", describe("text")).select("row", "id", "text_key", "d.*")
+    return rows.withColumn("d", describe("text")).select(
+        "row", "id", "text_key", "d.*", *[F.get("d.sketch", F.lit(i)).alias(f"k{i}") for i in range(SKETCH)]
+    ).drop("sketch")
 
 
 def grouped(ids: DataFrame, held: DataFrame) -> DataFrame:
@@ -321,7 +333,8 @@ def grouped(ids: DataFrame, held: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    member = held.where("n >= 4").select("row", "digest", "n").join(classes.select("digest", "rep"), "digest").select("row", "rep", "n")
+    sketch = [f"k{i}" for i in range(SKETCH)]
+    member = held.where("n >= 4").select("row", "digest", "n", *sketch).join(classes.select("digest", "rep"), "digest").drop("digest")
     shared = stage(shared_signatures(held.select("row", "spare", "rich", "reserve", "sigs")), "signed")
 
     # First checks: everyone against the smallest of its signature, where they share several.
@@ -337,15 +350,15 @@ def grouped(ids: DataFrame, held: DataFrame) -> DataFrame:
     # Second checks: pairs that are still apart, weren't checked, and share enough.
     named = (
         shared.join(member, "row").join(roots, F.col("rep") == F.col("node"), "left")
-        .select("sig", "rep", "n", "left", F.coalesce("root", "rep").alias("root"))
+        .select("sig", "rep", "n", "left", F.coalesce("root", "rep").alias("root"), *sketch)
     )
     apart = named.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("sig")
     named = stage(named.join(apart, "sig", "left_semi").distinct(), "apart")
     one, two = (
-        named.select("sig", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("root").alias(f"r{x}"), F.col("left").alias(f"l{x}"))
+        named.withColumnsRenamed({"rep": x, "n": f"n{x}", "root": f"r{x}", "left": f"l{x}"} | {k: f"{x}{k}" for k in sketch})
         for x in "ab"
     )
-    rest = one.join(two, "sig").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near(F.col("na"), F.col("nb")))
+    rest = one.join(two, "sig").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near("a", "b"))
     rest = rest.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first(F.least("la", "lb")).alias("left"))
     rest = stage(rest.where("common > left").select("a", "b").join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
@@ -362,16 +375,21 @@ def grouped(ids: DataFrame, held: DataFrame) -> DataFrame:
     )
 
 
-def near(a: Column, b: Column) -> Column:
-    """Sizes that a pair of similar sets may have."""
-    return DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
+def near(x: str, y: str) -> Column:
+    """Whether sets may be similar by their sizes (nx, ny) and sketches (xk0, yk0, ...)."""
+    a, b = F.col(f"n{x}"), F.col(f"n{y}")
+    bits = [F.bit_count(F.col(f"{x}k{i}").bitwiseXOR(F.col(f"{y}k{i}"))) for i in range(SKETCH)]
+    # Sets of similarity 4/5 differ in at most (a + b) / 9 shingles.
+    return (DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)) & (9 * reduce(lambda p, q: p + q, bits) <= a + b)
 
 
 def as_pairs(rows: DataFrame, member: DataFrame) -> DataFrame:
-    """Pairs of rows as distinct pairs of their classes, a < b, of fitting sizes."""
-    one = member.select(F.col("row"), F.col("rep").alias("x"), F.col("n").alias("nx"))
-    two = member.select(F.col("row").alias("low"), F.col("rep").alias("y"), F.col("n").alias("ny"))
-    both = rows.join(one, "row").join(two, "low").where((F.col("x") != F.col("y")) & near(F.col("nx"), F.col("ny")))
+    """Pairs of rows as distinct pairs of their classes, a < b, that may be similar."""
+    renamed = lambda x, row: member.withColumnsRenamed(
+        {"row": row, "rep": x, "n": f"n{x}"} | {f"k{i}": f"{x}k{i}" for i in range(SKETCH)}
+    )
+    both = rows.join(renamed("x", "row"), "row").join(renamed("y", "low"), "low")
+    both = both.where((F.col("x") != F.col("y")) & near("x", "y"))
     return both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitpanel.llm import ngram_join
-from pitpanel.llm.ngram_join import WordHashes, components, drop_near_duplicates, shingle_set, signatures, similar_groups
+from pitpanel.llm.ngram_join import WordHashes, components, drop_near_duplicates, parity_sketch, shingle_set, signatures, similar_groups
 
 SCHEMA = "doc_id long, text string, row string, sig string"
 
@@ -125,6 +125,16 @@ def test_similar_sets_share_more_than_their_reserve():
                 assert len(np.intersect1d(a, b)) >= 1
 
 
+def test_sketches_never_differ_more_than_their_sets():
+    draw = np.random.default_rng(6)
+    for n in (1, 10, 200, 5000):
+        s = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64))
+        t = np.unique(np.r_[s[n // 7 :], draw.integers(0, 2**64, n // 5, dtype=np.uint64)])
+        bits = int(np.bitwise_count((parity_sketch(s) ^ parity_sketch(t)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(s, t))
+        assert n != 200 or bits > 0.7 * len(np.setxor1d(s, t))
+
+
 def test_shingles_follow_the_word_rule():
     hashes = WordHashes()
     assert len(shingle_set("A b c d e F".encode(), hashes)) == 2
