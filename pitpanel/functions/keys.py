@@ -77,11 +77,6 @@ def outside(df: DataFrame, allowed: DataFrame, keys: Sequence[str]) -> DataFrame
     )
 
 
-def only(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``wanted`` (a code list or a date list)."""
-    return df.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
-
-
 def coverage(value: Column) -> Column:
     return F.coalesce(F.try_divide(F.count(value), F.count(F.lit(1))), F.lit(0.0))
 

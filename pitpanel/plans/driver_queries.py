@@ -918,10 +918,10 @@ def _(r: Roles) -> DataFrame:
 
 HASH_COLUMNS = ["trade_date", "thscode", "security_name", "s_suppkey"]
 ROW_SQL = "'=' || strftime(trade_date, '%Y-%m-%d') || chr(31) || '=' || thscode || chr(31) || '=' || security_name || chr(31) || '=' || CAST(s_suppkey AS VARCHAR)"
-WORD_SQL = "sum(CAST(('0x' || substr(h, {}, 15))::BIGINT AS DECIMAL(20,0)))"
+WORD_SQL = "sum(CAST(('0x' || substr(h, {}, 16))::UBIGINT AS DECIMAL(20,0)))"
 HASH_SQL = (
     "SELECT trade_date, count(*) AS \"rows\", sha256(concat_ws(':', CAST(count(*) AS VARCHAR), "
-    + ", ".join(f"CAST({WORD_SQL.format(1 + 15 * i)} AS VARCHAR)" for i in range(4))
+    + ", ".join(f"CAST({WORD_SQL.format(1 + 16 * i)} AS VARCHAR)" for i in range(4))
     + f")) AS sha256 FROM (SELECT trade_date, sha256({ROW_SQL}) AS h FROM {{}}) GROUP BY 1"
 )
 

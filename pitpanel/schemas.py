@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
 
 # Dataset columns, in output order.
 UNIVERSE_COLUMNS = (
@@ -148,12 +147,3 @@ REQUIRED_EXCHANGES = ("SSE", "SZSE", "BSE")
 
 # The two benchmark indexes and the state columns they feed.
 BENCHMARKS = {"000300.SH": "CSI300", "000852.SH": "CSI1000"}
-
-# Landed vendor JSON: one item per code, a list of times and lists per field.
-LANDED_ITEM = T.StructType([
-    T.StructField("thscode", T.StringType()),
-    T.StructField("code", T.StringType()),
-    T.StructField("time", T.StringType()),
-    T.StructField("table", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("data", T.MapType(T.StringType(), T.StringType())),
-])
