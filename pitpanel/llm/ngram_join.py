@@ -59,7 +59,7 @@ RESERVE, SLACK = 0.06, 0.06
 #: Words of 64 bits in a set's parity sketch.
 SKETCH = 8
 #: Entries of a task's word-hash memo.
-MEMO = 1 << 20
+MEMO = 1 << 18
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 

@@ -40,7 +40,7 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: A passage is reported when a clean text has one as good less often than this.
 SIGNIFICANT = 0.05
-MEMO = 1 << 19
+MEMO = 1 << 18
 
 WORDS = re.compile(r"[^\W\d_]+")
 
