@@ -173,19 +173,31 @@ def member_set_segments(
 def join_segments(
     df: DataFrame, segments: DataFrame, keys: Sequence[str], date: str = "trade_date"
 ) -> DataFrame:
-    """Attach the one segment of each key that covers the row's date."""
+    """Attach the one segment of each key that covers the row's date.
+
+    Rows and segment starts are sorted together by key and day, and each row takes
+    the last start before it: no row meets more than one segment.
+    """
     values = [
         c for c in segments.columns if c not in (*keys, "segment_from", "segment_to")
     ]
-    match = F.col(f"l.{date}").between(
-        F.col("r.segment_from"), F.col("r.segment_to")
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    rows = df.select(
+        *named, F.col(date).alias("_day"), F.lit(1).alias("_kind"),
+        F.struct(*df.columns).alias("_row"),
     )
-    for key in keys:
-        match = match & (F.col(f"l.{key}") == F.col(f"r.{key}"))
-    return (
-        df.alias("l")
-        .join(segments.alias("r"), match, "left")
-        .select("l.*", *[F.col(f"r.{v}") for v in values])
+    starts = segments.dropna(subset=list(keys)).select(
+        *named, F.col("segment_from").alias("_day"), F.lit(0).alias("_kind"),
+        F.struct("segment_to", *values).alias("_segment"),
+    )
+    by_key = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))])
+    before = by_key.orderBy("_day", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    both = rows.unionByName(starts, allowMissingColumns=True).withColumn(
+        "_segment", F.last("_segment", ignorenulls=True).over(before)
+    )
+    covered = F.col("_segment.segment_to") >= F.col("_day")
+    return both.where("_kind = 1").select(
+        "_row.*", *[F.when(covered, F.col(f"_segment.{v}")).alias(v) for v in values]
     )
 
 
@@ -207,9 +219,10 @@ def active_industry(membership: DataFrame, dates: DataFrame) -> DataFrame:
     segments = winning_segments(
         rows, ["thscode", "level"], ["industry_code", "industry_name"]
     )
-    return join_segments(dates, segments, ["thscode"]).where(
-        F.col("industry_code").isNotNull()
-    )
+    levels = segments.select("thscode", "level").distinct()
+    return join_segments(
+        dates.join(levels, "thscode"), segments, ["thscode", "level"]
+    ).where(F.col("industry_code").isNotNull())
 
 
 def active_index_members(
