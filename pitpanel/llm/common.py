@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text bytes handled at once inside a Python task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -52,15 +52,23 @@ def chunks(texts: Iterable[str | None]) -> Iterator[list[bytes]]:
         yield part
 
 
+#: Rows of an Arrow batch, where the session doesn't say: texts are long, and a
+#: task holds a batch several times.
+BATCH_ROWS = 500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once an application, as Spark ships Python files.
+    """Make the session fit for Python tasks: small Arrow batches, and this package.
 
-    The driver serves the archive, so it may lie in a folder of the driver's own.
+    The package goes to the executors once an application, as Spark ships Python
+    files; the driver serves the archive, so it may lie in a folder of its own.
     """
     context = spark.sparkContext
+    if context.getConf().get(BATCH_SETTING) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     if context.applicationId in _SHIPPED:
         return
     _SHIPPED.add(context.applicationId)
