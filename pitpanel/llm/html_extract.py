@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.llm import boosting
-from pitpanel.llm.common import at, ship
+from pitpanel.llm.common import at, first_by_hash, ship
 
 #: Pages that the trees are fitted on, at most, and rearrangements of each.
 TRAIN_PAGES, VARIANTS = 240, 5
@@ -433,9 +433,10 @@ def training_nodes(htmls: list[str], seed: int = 7) -> tuple[np.ndarray, np.ndar
 def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", rows: int = TRAIN_PAGES) -> boosting.Trees | None:
     """Trees fitted on at most ``rows`` pages that mark their article, chosen by hash; None without such pages."""
     near = pages.where(F.lower(at(html_col)).rlike("<(article|main)[ >]") & (F.length(at(html_col)) < 1_000_000))
-    chosen = near.select(
+    ordered = near.select(
         at(html_col).alias("html"), F.xxhash64(at(id_col).cast("string"), F.lit("train")).alias("order")
-    ).orderBy("order", "html").limit(rows)
+    )
+    chosen = first_by_hash(ordered, "order", rows, near.count())
     x, y = training_nodes([r.html for r in chosen.collect()])
     return boosting.fit(x, y) if len(set(y.tolist())) == 2 else None
 

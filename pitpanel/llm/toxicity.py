@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, chunks, ship
+from pitpanel.llm.common import at, chunks, first_by_hash, ship
 
 #: Labelled rows that the model is fitted on, at most: a documented bound.
 TRAIN_ROWS = 12_000
@@ -175,7 +175,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     """text, toxic, half: at most ``rows`` labelled documents that aren't held out, chosen by hash."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    chosen = stage(marked.orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id").limit(rows), "chosen")
+    marked = stage(marked.withColumn("order", F.xxhash64("doc_id", F.lit("train"))), "marked")
+    chosen = stage(first_by_hash(marked, "order", rows, marked.count()).drop("order"), "chosen")
     # At most ``rows`` pairs of numbers.
     chosen = F.broadcast(chosen.withColumnRenamed("doc_id", "__id"))
     slim = docs.select(at(id_col).alias("id"), F.coalesce(at(text_col).cast("string"), F.lit("")).alias("text"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, ship
+from pitpanel.llm.common import at, first_by_hash, ship
 
 NEAREST = 10
 TREES, CHARACTERS = 64, 32
@@ -143,7 +143,8 @@ def nearest_vectors(
 
 def nearest_of_length(rows: DataFrame, dim: int, n: int, asked: int, k: int) -> DataFrame:
     """Nearest of every block, for vectors of one length."""
-    sample = rows.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(SAMPLE_ROWS).select("v").toPandas()
+    ordered = rows.select(F.xxhash64("id", F.lit(SEED)).alias("order"), "id", "v")
+    sample = first_by_hash(ordered, "order", SAMPLE_ROWS, n).select("v").toPandas()
     x = np.array(sample["v"].tolist(), float).reshape(-1, dim)
     share, centre = fitted_share(x), x.mean(axis=0)
     blocks, chunks = -(-n // BLOCK_ROWS), -(-asked // CHUNK_QUERIES)
