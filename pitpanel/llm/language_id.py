@@ -155,9 +155,9 @@ def shrunk_priors(rows: DataFrame, classes: int) -> tuple[DataFrame, list[float]
 def identify(
     rows: DataFrame, text_col: str, label_col: str, id_col: str,
     declared: Column | None = None, host: Column | None = None,
-    accept: tuple[str, ...] | None = None, least: float = LEAST, train_rows: int = TRAIN_ROWS,
+    accept: tuple[str, ...] | None = None, least: float = LEAST, train_rows: int = TRAIN_ROWS, whole: bool = True,
 ) -> DataFrame:
-    """Every row with __language, __probability and __kept.
+    """Every row (without its text unless ``whole``) with __language, __probability and __kept.
 
     The text model is fitted on rows with a label in ``label_col``; ``declared``
     is the language that the markup states, ``host`` the address. Missing
@@ -172,18 +172,19 @@ def identify(
     none = F.lit(None).cast("string")
     domain, suffix = address_parts(host if host is not None else none)
     cols = fresh(rows, "evidence", "declared", "host", "domain", "suffix", "blank")
-    held = stage(
-        rows.withColumns(dict(zip(cols, (
-            text_evidence(table)(at(text_col).cast("string")),
-            F.lower(declared) if declared is not None else none,
-            host if host is not None else none, domain, suffix,
-            ~F.coalesce(at(text_col).cast("string"), F.lit("")).rlike(WORD),
-        ), strict=True))),
-        "language",
-    )
+    full = rows.withColumns(dict(zip(cols, (
+        text_evidence(table)(at(text_col).cast("string")),
+        F.lower(declared) if declared is not None else none,
+        host if host is not None else none, domain, suffix,
+        ~F.coalesce(at(text_col).cast("string"), F.lit("")).rlike(WORD),
+    ), strict=True)))
+    # Texts aren't written again: where they are wanted, they are scored once more.
+    kept = rows.columns if whole else [c for c in rows.columns if c != text_col]
+    written = stage(full.select([at(c) for c in ([] if whole else kept)] + [at(c) for c in cols]), "language")
+    held = full if whole else written
     ev, dec, hos, dom, suf, blank = (at(c) for c in cols)
     best = F.array_position(ev, F.array_max(ev)) - 1
-    seen = held.where(~blank).select(
+    seen = written.where(~blank).select(
         best.alias("verdict"), dec.alias("declared"), hos.alias("host"), dom.alias("domain"), suf.alias("suffix")
     )
     # Small when there are few values; Spark broadcasts each only when its written size is small.
@@ -203,7 +204,7 @@ def identify(
     total = F.aggregate(F.transform("__logs", lambda x: F.exp(x - F.col("__most"))), F.lit(0.0), lambda a, x: a + x)
     wanted = list(accept) if accept is not None else languages
     return joined.select(
-        *[at(c) for c in rows.columns],
+        *[at(c) for c in kept],
         F.when(~blank, F.element_at(F.array(*[F.lit(x) for x in names]), F.array_position("__logs", F.col("__most")).cast("int"))).alias("__language"),
         F.when(~blank, F.lit(1.0) / total).alias("__probability"),
     ).withColumn("__kept", F.coalesce(F.col("__language").isin(wanted) & (F.col("__probability") >= least), F.lit(False)))
@@ -212,7 +213,7 @@ def identify(
 def document_languages(docs: DataFrame, **options) -> DataFrame:
     """Per document: doc_id, language, probability, kept; lang is the declaration, source the host."""
     slim = docs.select("doc_id", "text", "lang", "source")
-    found = identify(slim, "text", "lang", "doc_id", F.col("lang"), F.col("source"), **options)
+    found = identify(slim, "text", "lang", "doc_id", F.col("lang"), F.col("source"), whole=False, **options)
     return found.select(
         "doc_id", F.col("__language").alias("language"), F.round("__probability", 6).alias("probability"), F.col("__kept").alias("kept")
     )
@@ -231,7 +232,7 @@ def page_languages(pages: DataFrame, **options) -> DataFrame:
         F.regexp_replace(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ").alias("words"),
         declared_in_markup(F.col("html")).alias("declared"), host_of(F.col("url")).alias("host"),
     )
-    found = identify(rows, "words", "declared", "page_id", F.col("declared"), F.col("host"), **options)
+    found = identify(rows, "words", "declared", "page_id", F.col("declared"), F.col("host"), whole=False, **options)
     return found.select(
         "page_id", F.col("__language").alias("language"), F.round("__probability", 6).alias("probability"), F.col("__kept").alias("kept")
     )

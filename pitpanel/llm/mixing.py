@@ -30,6 +30,8 @@ SEED = 17
 BLOCK_DOCS = 256
 #: The plan holds a row per source on the driver; more sources are refused.
 MAX_SOURCES = 100_000
+#: A plan of so many sources (a few kB each) is broadcast; beyond, Spark joins it its own way.
+BROADCAST_SOURCES = 2_000
 
 
 def targets_of(sizes: list[int], weights: list[float], most: float = MAX_EPOCHS) -> list[float]:
@@ -85,8 +87,8 @@ def fill(docs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"k": [docs["k"].iloc[0]], "block": [int(docs["block"].iloc[0])], "more": [more]})
 
 
-def mixing_plan(slim: DataFrame, weights: tuple[float, ...], most: int, shards: int, seed: int) -> DataFrame:
-    """One row per source: pk, source_size, target, epochs, blocks, last, more, shard_starts.
+def mixing_plan(slim: DataFrame, weights: tuple[float, ...], most: int, shards: int, seed: int) -> tuple[DataFrame, int]:
+    """One row per source: pk, source_size, target, epochs, blocks, last, more, shard_starts; and their number.
 
     ``slim`` is a written table of k (source key), size and u (hash as a number
     from 0 up to 1). Documents of the blocks before ``last``, and those of block
@@ -130,7 +132,7 @@ def mixing_plan(slim: DataFrame, weights: tuple[float, ...], most: int, shards:
         last, more = ends.get(k, (blocks if rest > 0 and total else 0, []))
         done.append((k, total, target, epochs, blocks, last, more, [int(x) for x in starts[1:, i]]))
     kinds = "pk string, source_size long, target double, epochs int, blocks long, last long, more array<double>, shard_starts array<long>"
-    return spark.createDataFrame(done, kinds)
+    return spark.createDataFrame(done, kinds), len(done)
 
 
 def draws(
@@ -148,21 +150,20 @@ def draws(
     # The hash covers the text's length as well, so that equal ids don't all fall together.
     mix = F.xxhash64(F.lit(seed), at(id_col).cast("string"), at(source_col).cast("string"), F.length(at(text_col).cast("string")))
     unit = (F.shiftrightunsigned(mix, 11).cast("double") / F.lit(float(1 << 53)))
-    kept = [] if slim else docs.columns
-    held = stage(
-        docs.select(
-            *[at(c) for c in kept], *([at(id_col)] if slim else []),
-            word_count(at(text_col).cast("string")).alias(size), at(source_col).cast("string").alias(k), unit.alias(u),
-        ),
-        "mix",
-    )
-    plan = mixing_plan(
-        held.select(at(k).alias("k"), at(size).alias("size"), at(u).alias("u")), weights, most, shards, seed
+    tagged = docs.select(
+        *([at(id_col)] if slim else [at(c) for c in docs.columns]),
+        word_count(at(text_col).cast("string")).alias(size), at(source_col).cast("string").alias(k), unit.alias(u),
     )
+    # Only ids and figures are written; whether a document is drawn follows from its hash.
+    figures = [at(k).alias("k"), at(size).alias("size"), at(u).alias("u")]
+    held = stage(tagged.select(*([at(id_col)] if slim else []), at(size), at(k), at(u)), "mix")
+    plan, sources = mixing_plan(held.select(figures), weights, most, shards, seed)
+    rows = held if slim else tagged
+    plan = F.broadcast(plan) if sources <= BROADCAST_SOURCES else plan
     block = F.least(F.floor(at(u) * F.col("blocks")), F.col("blocks") - 1)
     once_more = ((block < F.col("last")) | F.array_contains("more", at(u))).cast("int")
-    return held.join(plan, at(k).eqNullSafe(F.col("pk")), "left").select(
-        *[at(c) for c in (kept or [id_col])],
+    return rows.join(plan, at(k).eqNullSafe(F.col("pk")), "left").select(
+        *[at(c) for c in ([id_col] if slim else docs.columns)],
         at(size).alias("__size"), at(u).alias("__u"), F.col("source_size").alias("__source_size"),
         F.col("target").alias("__target"), F.col("blocks").alias("__blocks"),
         F.col("shard_starts").alias("__starts"), (F.col("epochs") + once_more).alias("__copies"),
