@@ -8,7 +8,7 @@ numbers, so no group grows with a conversation. All of it is DataFrame functions
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
@@ -29,19 +29,51 @@ def plain(text: Column) -> Column:
 
 
 def parts(turns: DataFrame, max_turns: int) -> DataFrame:
-    """Turns with part and piece: a part of more rows than numbers is dealt to pieces.
+    """Turns with part and piece: a part of over twice as many rows as numbers is cut into pieces.
 
-    Only turn numbers that repeat, or are missing, fill a part beyond its size; its
-    rows are then dealt out by row number, so that a piece stays small.
+    Only turn numbers that repeat, or are missing, fill a part that far. Its rows get
+    places by the total order (turn, role, body), and a piece is a run of ``max_turns``
+    consecutive places; so no turn is moved, and the cut doesn't depend on how the
+    table lies.
     """
     rows = turns.withColumn("part", F.floor(F.col("turn") / max_turns).cast("long"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
     full = stage(
         rows.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 2 * max_turns), "full"
     ).toDF("f_conv", "f_part", "f_rows")
-    dealt = rows.join(full, F.col("conv_id").eqNullSafe(F.col("f_conv")) & F.col("part").eqNullSafe(F.col("f_part")), "left")
-    pieces = F.ceil(F.col("f_rows") / max_turns)
-    return dealt.withColumn("piece", F.coalesce(F.pmod(F.xxhash64("row"), pieces), F.lit(0)).cast("long"))
+    names = ["conv_id", "part", "turn", "role", "body"]
+    first = F.lit(0).cast("long").alias("piece")
+    if full.isEmpty():
+        return rows.select(*names, first)
+    marked = rows.join(full, F.col("conv_id").eqNullSafe(F.col("f_conv")) & F.col("part").eqNullSafe(F.col("f_part")), "left")
+    return marked.where("f_rows is null").select(*names, first).unionByName(
+        consecutive(marked.where("f_rows is not null").select(*names), names, max_turns)
+    )
+
+
+def consecutive(rows: DataFrame, names: list[str], size: int) -> DataFrame:
+    """``rows`` with piece: their places in the order of ``names`` within (conv_id, part), by ``size``.
+
+    Equal rows are counted before the sort. Ranges of the sort number their own rows,
+    and each starts where the ones before it end.
+    """
+    same = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+    held = stage(same.repartitionByRange(*names).sortWithinPartitions(*names).withColumns(
+        {"range": F.spark_partition_id(), "at": F.monotonically_increasing_id()}
+    ), "ranges")
+    sums = held.groupBy("conv_id", "part", "range").agg(F.sum("copies").alias("n"))
+    starts = sums.select(
+        F.col("conv_id").alias("s_conv"), F.col("part").alias("s_part"), F.col("range").alias("s_range"),
+        (F.sum("n").over(Window.partitionBy("conv_id", "part").orderBy("range")) - F.col("n")).alias("start"),
+    )
+    inside = Window.partitionBy("conv_id", "part", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    placed = held.withColumn("upto", F.sum("copies").over(inside)).join(
+        starts, F.col("conv_id").eqNullSafe(F.col("s_conv")) & F.col("part").eqNullSafe(F.col("s_part"))
+        & (F.col("range") == F.col("s_range")),
+    ).withColumn("upto", F.col("upto") + F.col("start")).withColumn("from", F.col("upto") - F.col("copies"))
+    piece = F.sequence(F.floor(F.col("from") / size).cast("long"), F.floor((F.col("upto") - 1) / size).cast("long"))
+    cut = placed.withColumn("piece", F.explode(piece))
+    there = F.least("upto", (F.col("piece") + 1) * size) - F.greatest("from", F.col("piece") * size)
+    return cut.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), there))).select(*names, "piece")
 
 
 def perspectives(turns: DataFrame, max_turns: int = MAX_TURNS, context: tuple[str, ...] = CONTEXT) -> DataFrame:
@@ -53,11 +85,11 @@ def perspectives(turns: DataFrame, max_turns: int = MAX_TURNS, context: tuple[st
     speakers gives no row; a null text is an empty turn; a null role is ``unknown``;
     repeated rows are repeated turns.
     """
+    role = F.coalesce(F.translate(plain(F.col("role")), NEWLINE, " "), F.lit(""))
     rows = parts(turns.select(
         "conv_id", F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.translate(plain(F.col("role")), NEWLINE, " "), F.lit("")).alias("role"), plain(F.col("text")).alias("body"),
+        F.when(role == "", F.lit(UNNAMED)).otherwise(role).alias("role"), plain(F.col("text")).alias("body"),
     ), max_turns)
-    rows = rows.withColumn("role", F.when(F.col("role") == "", F.lit(UNNAMED)).otherwise(F.col("role")))
     spoken = rows.groupBy("conv_id", "part", "piece").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "body"))).alias("turns")
     )

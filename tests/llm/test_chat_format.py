@@ -50,6 +50,25 @@ def test_a_turn_number_that_repeats_fills_no_group(spark):
     assert sum(r.n_turns for r in got) == 1000 and len(got) > 8 and max(r.n_turns for r in got) < 200
 
 
+def test_crowded_parts_are_cut_where_the_order_says(spark):
+    draw = random.Random(7)
+    rows = [(None, None, draw.choice(["Ann", "Bob", "system", None]), f"t{draw.randint(0, 300)}") for _ in range(500)]
+    rows += [(1, draw.choice([64, 65, None]), draw.choice(["Ann", "Bob"]), f"t{i}") for i in range(400)]
+    rows += [(2, 0, "Ann", "same")] * 200 + [(3, i, "Bob", f"t{i}") for i in range(130)]
+    groups, want = defaultdict(list), {}
+    for conv, turn, role, text in rows:
+        groups[conv, None if turn is None else turn // 64].append((conv, turn, role, text))
+    for (conv, part), said in groups.items():
+        said.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "unknown", r[3]))
+        step = 64 if len(said) > 128 else len(said)
+        for piece in range(-(-len(said) // step)):
+            for (_, _, speaker), row in plain(said[piece * step : (piece + 1) * step]).items():
+                want[conv, part, piece, speaker] = row
+    for tasks in (1, 5):
+        got = perspectives(frame(spark, rows).repartition(tasks)).collect()
+        assert {(r.conv_id, r.part, r.piece, r.speaker): (r.n_turns, r.n_target_turns, r.text, [tuple(s) for s in r.mask]) for r in got} == want
+
+
 def test_an_empty_table_and_no_python(spark):
     df = perspectives(frame(spark, []))
     assert df.count() == 0
