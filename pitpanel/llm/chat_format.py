@@ -3,7 +3,9 @@
 A dialogue is rendered once for each of its speakers: that speaker's turns become
 the assistant's, everyone else's become named users', and the mask marks what the
 assistant is trained on. Turns come in parts of ``MAX_TURNS`` consecutive turn
-numbers, so no group grows with a conversation. All of it is DataFrame functions.
+numbers, so no group grows with a conversation; every speaker of the conversation
+gets every part, and the parts joined are the rendering of the whole dialogue. All
+of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ MAX_TURNS = 64
 CONTEXT = ("system",)
 #: Speaker of turns without a role.
 UNNAMED = "unknown"
+#: Reducers that a conversation's pieces are dealt to when they meet its speakers.
+SPREAD = 16
 #: The markers of the rendered text.
 START, END, NEWLINE = "<|im_start|>", "<|im_end|>", "\n"
 
@@ -76,14 +80,27 @@ def consecutive(rows: DataFrame, names: list[str], size: int) -> DataFrame:
     return cut.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), there))).select(*names, "piece")
 
 
-def perspectives(turns: DataFrame, max_turns: int = MAX_TURNS, context: tuple[str, ...] = CONTEXT) -> DataFrame:
-    """Per conversation, part and speaker: text, mask and counts.
+def speakers_of_several(rows: DataFrame, context: tuple[str, ...]) -> DataFrame:
+    """Speakers (s_conv, speaker) of the conversations that have more than one part or piece."""
+    several = stage(rows.groupBy("conv_id").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.count("part").alias("numbered"),
+        F.count(F.lit(1)).alias("n"), F.max("piece").alias("pieces"),
+    ).where("low < high or pieces > 0 or (numbered > 0 and numbered < n)").select(F.col("conv_id").alias("l_conv")), "several")
+    spoken = rows.where(~F.col("role").isin(*context)).select("conv_id", "role").distinct()
+    found = spoken.join(several, F.col("conv_id").eqNullSafe(F.col("l_conv")), "left_semi")
+    return stage(found.select(F.col("conv_id").alias("s_conv"), F.col("role").alias("s_role")), "speakers")
+
+
+def dialogues(turns: DataFrame, max_turns: int = MAX_TURNS, context: tuple[str, ...] = CONTEXT) -> DataFrame:
+    """Per conversation, speaker, part and piece: text, mask and counts.
 
     ``turns``: conv_id, turn, role, text; other columns are ignored. Turns are
-    ordered by number, role, text, nulls first. mask: spans (start, end) of
-    characters, the assistant's words with their end marker. A part without
-    speakers gives no row; a null text is an empty turn; a null role is ``unknown``;
-    repeated rows are repeated turns.
+    ordered by number, role, text, nulls first. Each speaker of a conversation gets
+    all its parts, silent or not: the texts joined by part (null first) and piece are
+    the whole dialogue. mask: spans (start, end) of characters of the row's text, the
+    assistant's words with their end marker; ``with_offset`` says where a row begins
+    in the whole. A conversation without speakers gives no row; a null text is an
+    empty turn; a null role is ``unknown``; repeated rows are repeated turns.
     """
     role = F.coalesce(F.translate(plain(F.col("role")), NEWLINE, " "), F.lit(""))
     rows = parts(turns.select(
@@ -93,8 +110,14 @@ def perspectives(turns: DataFrame, max_turns: int = MAX_TURNS, context: tuple[st
     spoken = rows.groupBy("conv_id", "part", "piece").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "body"))).alias("turns")
     )
-    speakers = F.array_except(F.transform("turns", lambda m: m["role"]), F.array(*[F.lit(c) for c in context]))
-    each = spoken.withColumn("speaker", F.explode(F.array_distinct(speakers)))
+    # A conversation of one piece has its speakers there; those of others are looked up.
+    spoken = spoken.withColumn("salt", F.pmod(F.xxhash64("part", "piece"), F.lit(SPREAD)))
+    known = speakers_of_several(rows, context).withColumn(
+        "s_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    there = F.array_except(F.transform("turns", lambda m: m["role"]), F.array(*[F.lit(c) for c in context]))
+    each = spoken.join(
+        known, F.col("conv_id").eqNullSafe(F.col("s_conv")) & (F.col("salt") == F.col("s_salt")), "left"
+    ).withColumn("speaker", F.explode(F.when(F.col("s_role").isNotNull(), F.array("s_role")).otherwise(F.array_distinct(there))))
 
     def head(m: Column) -> Column:
         return (
@@ -127,10 +150,28 @@ def perspectives(turns: DataFrame, max_turns: int = MAX_TURNS, context: tuple[st
     )
 
 
+def perspectives(turns: DataFrame, **options) -> DataFrame:
+    """``dialogues`` without the rows in which the speaker is silent."""
+    return dialogues(turns, **options).where("n_target_turns > 0")
+
+
+def with_offset(rendered: DataFrame) -> DataFrame:
+    """``dialogues`` with offset: the character of the speaker's whole rendering where the row begins."""
+    keys = ["conv_id", "speaker", "part", "piece"]
+    # Only numbers meet in a window, so a long conversation's texts stay apart.
+    before = Window.partitionBy("conv_id", "speaker").orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rendered.select(*keys, F.length("text").cast("long").alias("size"))
+    begins = sizes.select(
+        *[F.col(k).alias(f"b_{k}") for k in keys], F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"b_{k}")) for k in keys]
+    return rendered.join(begins, same).select(*rendered.columns, "offset")
+
+
 def digests(turns: DataFrame, **options) -> DataFrame:
-    """``perspectives`` with the mask as text: start-end,start-end."""
+    """``dialogues`` with the mask as text: start-end,start-end."""
     span = F.transform("mask", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
-    return perspectives(turns, **options).withColumn("mask", F.array_join(span, ","))
+    return dialogues(turns, **options).withColumn("mask", F.array_join(span, ","))
 
 
 SQL = """

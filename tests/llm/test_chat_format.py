@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+from pitpanel.llm import chat_format
 from pitpanel.llm.chat_format import perspectives
 
 SCHEMA = "conv_id long, turn long, role string, text string, part string, said string"
@@ -69,6 +70,35 @@ def test_crowded_parts_are_cut_where_the_order_says(spark):
         assert {(r.conv_id, r.part, r.piece, r.speaker): (r.n_turns, r.n_target_turns, r.text, [tuple(s) for s in r.mask]) for r in got} == want
 
 
+def test_parts_add_up_to_the_whole_dialogue_of_every_speaker(spark):
+    # Bob speaks in the first part only, Eve in the last; the second has only the system.
+    rows = [(1, 0, "system", "scene"), (1, 1, "Bob", "hello")] + [(1, i, "Ann", f"a{i}") for i in range(2, 60)]
+    rows += [(1, i, "system", f"s{i}") for i in range(64, 128)] + [(1, 190, "Eve", "bye"), (1, None, "Ann", "no number")]
+    rows += [(2, 0, "system", "scene")] + [(2, 5, f"r{i % 3}", f"t{i:03}") for i in range(300)] + [(3, 70, "Bob", "short")]
+    rows += [(None, i, draw, "x") for i in range(0, 200, 50) for draw in ("Ann", f"r{i}")] + [(4, i, "system", "x") for i in range(70)]
+    want = {}
+    for conv, speaker in {(r[0], r[2]) for r in rows if r[2] != "system"}:
+        said = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        text, mask = "", []
+        for _, _, role, body in said:
+            head = "assistant" if role == speaker else "system" if role == "system" else f"user name={role}"
+            text += f"<|im_start|>{head}\n"
+            if role == speaker:
+                mask.append((len(text), len(text) + len(body) + 10))
+            text += f"{body}<|im_end|>\n"
+        want[conv, speaker] = (len(said), len(mask), text, mask)
+    got = defaultdict(lambda: (0, 0, "", []))
+    found = chat_format.with_offset(chat_format.dialogues(frame(spark, rows))).collect()
+    for r in sorted(found, key=lambda r: (r.part is not None, r.part or 0, r.piece)):
+        n, targets, text, mask = got[r.conv_id, r.speaker]
+        assert r.offset == len(text)
+        mask = mask + [(a + r.offset, b + r.offset) for a, b in r.mask]
+        got[r.conv_id, r.speaker] = (n + r.n_turns, targets + r.n_target_turns, text + r.text, mask)
+    assert got == want
+    assert {(r.conv_id, r.part, r.piece, r.speaker) for r in found} == {
+        (r.conv_id, r.part, r.piece, r.speaker) for r in chat_format.digests(frame(spark, rows)).collect()}
+
+
 def test_an_empty_table_and_no_python(spark):
     df = perspectives(frame(spark, []))
     assert df.count() == 0
