@@ -15,7 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
@@ -25,6 +25,10 @@ from pitpanel.llm.common import WORD, at, chunks, fresh, ship
 CELLS = 1 << 15
 #: Labelled rows that the text model is fitted on, per language: a documented bound.
 TRAIN_ROWS = 400
+#: Labelled rows from which a language has a text model of its own in any table.
+LEAST_ROWS = 20
+#: Text models at most; further languages stand on declaration and host.
+MAX_MODELS = 1000
 #: A text counts as at most so many independent trigrams.
 EFFECTIVE = 60
 #: Pseudo-rows that shrink a host to its domain, a domain to its suffix, and so on.
@@ -46,28 +50,26 @@ def train(docs: DataFrame, text_col: str, label_col: str, id_col: str, rows: int
     """Languages and log-likelihoods (cells x languages, the last column is noise).
 
     Fitted on at most ``rows`` labelled rows per language, chosen by hash. The
-    languages are those with at least a thousandth of the labelled rows.
+    languages are those with ``LEAST_ROWS`` labelled rows, or with a thousandth of
+    them all; the ``MAX_MODELS`` most frequent ones where there are more.
     """
     labelled = docs.where(at(label_col).isNotNull() & (F.length(at(text_col)) > 0)).select(
         at(label_col).cast("string").alias("label"), at(text_col).cast("string").alias("text"),
         F.xxhash64(at(id_col).cast("string"), F.lit("train")).alias("order"),
     )
-    counted = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(1000).collect()
-    total = sum(r["count"] for r in counted)
-    languages = sorted(r["label"] for r in counted if r["count"] * 1000 >= total)
+    counts = stage(labelled.groupBy("label").count(), "labels")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    often = counts.where((F.col("count") >= LEAST_ROWS) | (F.col("count") * 1000 >= total))
+    counted = often.orderBy(F.desc("count"), "label").limit(MAX_MODELS).collect()
+    languages = sorted(r["label"] for r in counted)
+    if not languages:
+        return [], np.zeros((CELLS, 1))
 
-    share = {r["label"]: min(1.0, 3.0 * rows / r["count"]) for r in counted if r["label"] in languages}
     # A hash keeps about three times what is needed; of these the first rows are taken.
-    cut = F.lit(None)
-    for label, part in share.items():
-        cut = F.when(F.col("label") == label, F.lit(part)).otherwise(cut)
-    near = labelled.where(F.pmod("order", F.lit(1 << 20)) < cut * (1 << 20))
-    picked = []
-    for label in languages:
-        part = near.where(F.col("label") == label).orderBy("order", "text").limit(rows)
-        picked.append(part.select("label", "text"))
-    if not picked:
-        return [], np.zeros((CELLS, 1))
+    share = docs.sparkSession.createDataFrame([(r["label"], min(1.0, 3.0 * rows / r["count"])) for r in counted], "label string, share double")
+    near = labelled.join(F.broadcast(share), "label").where(F.pmod("order", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    first = F.row_number().over(Window.partitionBy("label").orderBy("order", "text"))
+    picked = near.withColumn("first", first).where(F.col("first") <= rows).select("label", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
@@ -79,7 +81,7 @@ def train(docs: DataFrame, text_col: str, label_col: str, id_col: str, rows: int
             yield pd.DataFrame({"label": [label], "cells": [held.astype("<f8").tobytes()]})
 
     sums = {x: np.full(CELLS, 0.5) for x in languages}
-    for r in reduce(DataFrame.unionAll, picked).coalesce(4).mapInPandas(count, "label string, cells binary").collect():
+    for r in picked.coalesce(4).mapInPandas(count, "label string, cells binary").collect():
         sums[r.label] += np.frombuffer(r.cells, "<f8")
     table = np.stack([np.log(sums[x] / sums[x].sum()) for x in languages] + [np.full(CELLS, -np.log(CELLS))], axis=1)
     return languages, table
@@ -161,53 +163,72 @@ def identify(
 
     The text model is fitted on rows with a label in ``label_col``; ``declared``
     is the language that the markup states, ``host`` the address. Missing
-    evidence counts for nothing. A row is kept when its best language is in
-    ``accept`` (default: every fitted language) and has at least ``least``
+    evidence counts for nothing. A language without a text model has the noise's: it is
+    the answer where a row labelled with it fits no fitted language better, or where
+    an unlabelled row's host speaks for it. A row is kept when its best language is in
+    ``accept`` (default: every labelled language) and has at least ``least``
     probability; so null, empty and blank texts are rejected, as are rows of a
     table without any label. An empty table gives an empty result.
     """
     ship(rows.sparkSession)
     languages, table = train(rows, text_col, label_col, id_col, train_rows)
-    names, classes = [*languages, UNKNOWN], len(languages) + 1
+    # The last two: languages without a text model, as one, and what is no language.
+    classes = len(languages) + 2
     none = F.lit(None).cast("string")
     domain, suffix = address_parts(host if host is not None else none)
-    cols = fresh(rows, "evidence", "declared", "host", "domain", "suffix", "blank")
+    label = at(label_col).cast("string")
+    blank_text = ~F.coalesce(at(text_col).cast("string"), F.lit("")).rlike(WORD)
+    cols = fresh(rows, "evidence", "declared", "host", "domain", "suffix", "blank", "rare", "labelled")
     full = rows.withColumns(dict(zip(cols, (
         text_evidence(table)(at(text_col).cast("string")),
         F.lower(declared) if declared is not None else none,
         host if host is not None else none, domain, suffix,
-        ~F.coalesce(at(text_col).cast("string"), F.lit("")).rlike(WORD),
+        blank_text, F.when(~label.isin(*languages, UNKNOWN) & label.rlike(WORD) & ~blank_text, label), label.isNotNull(),
     ), strict=True)))
     # Texts aren't written again: where they are wanted, they are scored once more.
     kept = rows.columns if whole else [c for c in rows.columns if c != text_col]
     written = stage(full.select([at(c) for c in ([] if whole else kept)] + [at(c) for c in cols]), "language")
     held = full if whole else written
-    ev, dec, hos, dom, suf, blank = (at(c) for c in cols)
+    ev, dec, hos, dom, suf, blank, rare, labelled = (at(c) for c in cols)
+    n = len(languages)
     best = F.array_position(ev, F.array_max(ev)) - 1
+    best = F.when((best == n) & rare.isNull(), F.lit(n + 1)).otherwise(best)
     seen = written.where(~blank).select(
-        best.alias("verdict"), dec.alias("declared"), hos.alias("host"), dom.alias("domain"), suf.alias("suffix")
+        best.alias("verdict"), dec.alias("declared"), hos.alias("host"), dom.alias("domain"), suf.alias("suffix"), rare.alias("rare")
     )
     # Small when there are few values; Spark broadcasts each only when its written size is small.
     by_declared = log_conditional(seen, "declared", classes, "ld")
     by_suffix = log_conditional(seen, "suffix", classes, "ls")
     by_host, corpus = shrunk_priors(seen, classes)
     by_host, flat = stage(by_host, "priors"), F.array(*map(F.lit, corpus))
+    # A host's most frequent language without a text model.
+    rare_at = seen.where(f"verdict = {n} and host is not null").groupBy("host", "rare").count()
+    rare_at = stage(rare_at.groupBy("host").agg(F.max_by("rare", F.struct("count", "rare")).alias("host_rare")).select(
+        F.col("host").alias("rare_k"), "host_rare"), "rare")
     zero = F.array(*[F.lit(0.0)] * classes)
     joined = (
         held.join(by_declared, dec == F.col("declared_k"), "left")
         .join(by_suffix, suf == F.col("suffix_k"), "left")
         .join(by_host, hos == F.col("host_k"), "left")
+        .join(rare_at, hos == F.col("rare_k"), "left")
     )
     d, s, p = F.coalesce("ld", zero), F.coalesce("ls", zero), F.coalesce("prior", flat)
-    logs = F.array(*[F.get(ev, F.lit(i)) + F.get(d, F.lit(i)) + F.get(s, F.lit(i)) + F.log(F.get(p, F.lit(i))) for i in range(classes)])
+    noise, never = F.get(ev, F.lit(n)), F.lit(-1e9)
+    other = F.coalesce(rare, F.when(~labelled, F.col("host_rare")))
+    fits = [F.get(ev, F.lit(i)) for i in range(n)]
+    fits += [F.when(other.isNotNull(), noise).otherwise(never), F.when(rare.isNull(), noise).otherwise(never)]
+    logs = F.array(*[x + F.get(d, F.lit(i)) + F.get(s, F.lit(i)) + F.log(F.get(p, F.lit(i))) for i, x in enumerate(fits)])
     joined = joined.withColumn("__logs", logs).withColumn("__most", F.array_max("__logs"))
     total = F.aggregate(F.transform("__logs", lambda x: F.exp(x - F.col("__most"))), F.lit(0.0), lambda a, x: a + x)
-    wanted = list(accept) if accept is not None else languages
+    joined = joined.withColumn("__place", F.array_position("__logs", F.col("__most")).cast("int"))
+    name = F.element_at(F.array(*[F.lit(x) for x in [*languages, UNKNOWN, UNKNOWN]]), F.col("__place"))
+    joined = joined.withColumn("__language", F.when(~blank, F.when(F.col("__place") == n + 1, other).otherwise(name)))
+    joined = joined.withColumn("__probability", F.when(~blank, F.lit(1.0) / total))
+    wanted = F.col("__language").isin(*accept) if accept is not None else F.col("__place") <= n + 1
     return joined.select(
-        *[at(c) for c in kept],
-        F.when(~blank, F.element_at(F.array(*[F.lit(x) for x in names]), F.array_position("__logs", F.col("__most")).cast("int"))).alias("__language"),
-        F.when(~blank, F.lit(1.0) / total).alias("__probability"),
-    ).withColumn("__kept", F.coalesce(F.col("__language").isin(wanted) & (F.col("__probability") >= least), F.lit(False)))
+        *[at(c) for c in kept], "__language", "__probability",
+        F.coalesce(wanted & (F.col("__probability") >= least), F.lit(False)).alias("__kept"),
+    )
 
 
 def document_languages(docs: DataFrame, **options) -> DataFrame:

@@ -41,6 +41,24 @@ def test_evidence_decides_where_the_text_does_not(spark):
     assert (got[900], got[901]) == ("de", "fr")
 
 
+def test_rare_languages_of_a_large_table(spark):
+    draw = random.Random(5)
+    finnish = "ja on ei se että hän oli mutta kun niin myös kanssa ovat sitten kuin jossa yhteydessä".split()
+    georgian = "და არის რომ ეს იყო მისი თუ როგორც მაგრამ უფრო".split()
+    def say(words):
+        return " ".join(draw.choice(words) for _ in range(40))
+    many = spark.range(40_000).selectExpr(
+        "id as doc_id", "'the and of to in that which with from this have been were their would about there' as text",
+        "'en' as lang", "'h1' as source", "0L as n_chars", "'' as evidence", "'' as host")
+    rows = [(50_000 + i, say(finnish), "fi" if i else None, "h2", 0, "", "") for i in range(31)]
+    rows += [(60_000 + i, say(georgian), "ka" if i else None, "h3", 0, "", "") for i in range(6)]
+    rows += [(70_000, say(WORDS["en"]), "xx", "h1", 0, "", "")]
+    df = many.unionByName(spark.createDataFrame(rows, SCHEMA))
+    got = {r.doc_id: r for r in document_languages(df).where("doc_id >= 50000").collect()}
+    assert {k: (r.language, r.kept) for k, r in got.items()} == {
+        **{r[0]: ("fi", True) for r in rows[:31]}, **{r[0]: ("ka", True) for r in rows[31:37]}, 70_000: ("en", True)}
+
+
 def test_rejected_rows_go_and_columns_stay(spark):
     rows = docs() + [(901, None, "en", "h1", 0, "", ""), (902, "", None, None, 0, "", ""), (903, " \n", "en", "h1", 0, "", ""),
                      (904, "the and of to in " * 40_000, "en", "h1", 0, "", ""), (None, "the and of to in", "en", None, None, None, None),
