@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.llm import (
-    chat_format, exact_dedup, html_extract, language_id, mixing, ngram_join, packing, toxicity, url_filter, vector_search,
+    chat_format, exact_dedup, html_extract, language_id, mixing, ngram_join, packing, quality_nbsvm, spelling_variants,
+    toxicity, url_filter, vector_search, whitening,
 )
 
 
@@ -60,6 +61,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.document_spellings(read(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_nbsvm.scored_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -71,6 +84,9 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_quality_classifier": op12_quality_classifier,
+    "op13_embedding_whitening": op13_embedding_whitening,
     "language_id_pages": language_id_pages,
 }
 
