@@ -27,6 +27,8 @@ from pitpanel.llm.common import at, first_by_hash, fresh, ship
 TRAIN_ROWS, TRAIN_GRAMS = 12_000, 8_000_000
 #: Grams are hashed to so many bits: a fixed bound of every table of grams.
 BITS = 19
+#: Counts that travel to the driver together, by half and class.
+PACKED, CELLS = 4096, ["c0", "c1", "c2", "c3"]
 #: Added to each class count of a gram.
 SMOOTH = 1.0
 #: Cost of a violated margin, sweeps over the sample at most, and the gap that ends them.
@@ -131,13 +133,23 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 "cell": cell, "gram": np.append(seen, -1), "n": np.append(sums[cell][seen].astype(np.int64), sizes[cell]),
             })
 
+    def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros((4, PACKED), np.int64)
+        table[:, part["gram"] % PACKED] = part[CELLS].to_numpy().T
+        return pd.DataFrame({"block": [key[0]], "counts": [table.tobytes()]})
+
     counted = rows.select("text", "good", "half").mapInPandas(count, "cell int, gram long, n long")
-    # At most four times 2 ** BITS rows of three numbers.
-    table = counted.groupBy("cell", "gram").agg(F.sum("n").alias("n")).toPandas()
+    whole = counted.groupBy("gram").agg(*[F.sum(F.when(F.col("cell") == k, F.col("n")).otherwise(0)).alias(c) for k, c in enumerate(CELLS)])
+    # At most 2 ** BITS counts of four cells, in blocks; the block before the first holds the sizes.
+    block = F.floor(F.col("gram") / PACKED).cast("int").alias("block")
+    blocks = whole.groupBy(block).applyInPandas(pack, "block int, counts binary").collect()
     sums, sizes = np.zeros((4, 1 << BITS)), np.zeros(4)
-    total = table["gram"] < 0
-    sizes[table["cell"][total]] = table["n"][total]
-    sums[table["cell"][~total], table["gram"][~total]] = table["n"][~total]
+    for row in blocks:
+        table = np.frombuffer(row["counts"], np.int64).reshape(4, PACKED)
+        if row["block"] < 0:
+            sizes = table[:, -1].astype(float)
+        else:
+            sums[:, row["block"] * PACKED : (row["block"] + 1) * PACKED] = table
     return sums, sizes
 
 
@@ -261,25 +273,22 @@ def fit(
         gram = [np.asarray(g, np.int64) for g in learned["grams"]]
         weights, constant = hinge_loss(gram, learned["good"].to_numpy(np.int64), scale)
         if mine == 2:
-            scaled = weights * scale
-            kept = np.flatnonzero(scaled)
-            return pd.DataFrame({"fit": 2, "good": -1, "gram": np.append(kept, -1), "value": np.append(scaled[kept], constant)})
+            scaled = (weights * scale).astype(np.float32)
+            return pd.DataFrame({"fit": 2, "good": -1, "value": [constant], "weights": [scaled.tobytes()]})
         apart = part[part["half"] == mine]
         margins = [weights[g] @ unit_row(g, scale) + constant for g in (np.asarray(g, np.int64) for g in apart["grams"])]
-        return pd.DataFrame({"fit": mine, "good": apart["good"].to_numpy(), "gram": -1, "value": margins})
+        return pd.DataFrame({"fit": mine, "good": apart["good"].to_numpy(), "value": margins, "weights": None})
 
     drawn = sample(known, rows).withColumn("fit", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
-    # At most three times the sample's rows, or 2 ** BITS weights.
-    solved = drawn.groupBy("fit").applyInPandas(solve, "fit int, good int, gram long, value double").toPandas()
-    weights, constant = np.zeros(1 << BITS), 0.0
+    # As many rows as the sample has, and one of 2 ** BITS weights.
+    solved = drawn.groupBy("fit").applyInPandas(solve, "fit int, good int, value double, weights binary").toPandas()
+    weights, constant = np.zeros(1 << BITS, np.float32), 0.0
     last = solved[solved["fit"] == 2]
     if len(last):
-        inner = last[last["gram"] >= 0]
-        weights[inner["gram"]] = inner["value"]
-        constant = float(last.loc[last["gram"] < 0, "value"].iloc[0])
+        weights, constant = np.frombuffer(bytes(last["weights"].iloc[0]), np.float32), float(last["value"].iloc[0])
     apart = solved[solved["fit"] < 2]
     curve = logistic_curve(apart["value"].to_numpy(float), apart["good"].to_numpy(float))
-    return Model(weights.astype(np.float32), ratios[2].astype(np.float32), constant, curve)
+    return Model(weights, ratios[2].astype(np.float32), constant, curve)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "quality_score") -> DataFrame:

@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import pytest
+
+from pitpanel.llm import whitening as wh
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id string, component int, vector int, N int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "a", 2, 3, 4) for i, v in rows], SCHEMA)
+
+
+def exact(rows):
+    """All but the measured error, whose last digits depend on the order of addition."""
+    return sorted(tuple(r)[:-1] for r in rows)
+
+
+def brute(vectors, components=32):
+    """Covariance, eigenvalues and whitened values by numpy's own solver."""
+    x = np.floor(64 * np.array(vectors, np.float32).astype(float)) + 1_000_000
+    n, sums = len(x), x.sum(0)
+    z = x - sums / n
+    values, units = np.linalg.eigh(z.T @ z / n)
+    values, units = values[::-1][:components], units[:, ::-1][:, :components]
+    deviation = [sum((n * int(a) - int(s)) ** 2 for a, s in zip(row, sums, strict=True)) for row in x]
+    return values, z @ units / np.sqrt(values), deviation, values / np.trace(z.T @ z / n)
+
+
+def as_arrays(rows, k):
+    rows = sorted(rows, key=lambda r: (r["vec_id"], r["component"]))
+    return np.array([r["whitened"] for r in rows]).reshape(-1, k), [r["deviation"] for r in rows[::k]], [r["explained"] for r in rows[:k]]
+
+
+@pytest.mark.parametrize(("n", "d"), [(300, 5), (400, 40), (90, 33)])
+def test_equals_an_eigenvalue_solver(spark, n, d):
+    draw = np.random.default_rng(d)
+    vectors = (draw.normal(size=(n, d)) @ draw.normal(size=(d, d)) * 0.3 + draw.normal(size=d)).astype(np.float32)
+    rows = wh.whitened_embeddings(frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)])).collect()
+    k = min(d, 32)
+    assert len(rows) == n * k and {r["n"] for r in rows} == {n}
+    values, white, deviation, explained = brute(vectors)
+    got, dev, share = as_arrays(rows, k)
+    assert dev == deviation
+    np.testing.assert_allclose(share, explained, rtol=1e-10)
+    np.testing.assert_allclose(got * np.sign((got * white).sum(0)), white, atol=1e-7)
+    assert {r["identity_error"] for r in rows} == {rows[0]["identity_error"]} and rows[0]["identity_error"] < 1e-9
+
+
+def test_rows_without_a_finite_vector_are_left_out(spark):
+    draw = np.random.default_rng(2)
+    good = [(i, draw.normal(size=4).tolist()) for i in range(50)]
+    bad = [(100, None), (101, []), (102, [1.0, None, 1.0, 1.0]), (103, [float("nan")] * 4), (104, [float("inf"), 0.0, 0.0, 0.0]), (105, [-float("inf"), 0.0, 0.0, 0.0])]
+    alone = wh.whitened_embeddings(frame(spark, good)).collect()
+    mixed = wh.whitened_embeddings(frame(spark, bad[:3] + good + bad[3:])).collect()
+    assert exact(mixed) == exact(alone) and len(alone) == 200
+
+
+def test_repeated_rows_null_ids_and_large_ids(spark):
+    draw = np.random.default_rng(4)
+    vectors = [draw.normal(size=3).tolist() for _ in range(20)]
+    big = (1 << 60) + 1
+    rows = [(None, vectors[0]), (big, vectors[1]), (big, vectors[1])] + [(i, v) for i, v in enumerate(vectors)]
+    got = wh.whitened_embeddings(frame(spark, rows)).collect()
+    assert len(got) == 3 * len(rows) and {r["n"] for r in got} == {len(rows)}
+    assert sum(r["vec_id"] == big for r in got) == 6 and sum(r["vec_id"] is None for r in got) == 3
+
+
+def test_each_length_is_a_space_of_its_own(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.normal(size=2 + i % 3).tolist()) for i in range(90)] + [(500, draw.normal(size=9).tolist())]
+    whole = exact(wh.whitened_embeddings(frame(spark, rows)).collect())
+    apart = []
+    for d in (2, 3, 4):
+        apart += wh.whitened_embeddings(frame(spark, [(i, v) for i, v in rows if len(v) == d])).collect()
+    assert whole == exact(apart) and len(whole) == 30 * (2 + 3 + 4)
+    monkeypatch.setattr(wh, "MODEL_BYTES", 1)
+    assert exact(wh.whitened_embeddings(frame(spark, rows)).collect()) == whole
+
+
+def test_dependent_dimensions_have_no_component(spark):
+    draw = random.Random(9)
+    rows = []
+    for i in range(60):
+        a, b = draw.randint(-500, 500) / 64, draw.randint(-500, 500) / 64
+        rows.append((i, [a, b, a + b, 2 * a, 0.25]))
+    got = wh.whitened_embeddings(frame(spark, rows)).collect()
+    assert len(got) == 120 and max(r["identity_error"] for r in got) < 1e-9
+    assert abs(sum(r["explained"] for r in got[:2]) - 1) < 1e-12
+
+
+def test_no_spread_gives_no_rows(spark):
+    assert wh.whitened_embeddings(frame(spark, [])).collect() == []
+    assert wh.whitened_embeddings(frame(spark, [(1, [1.0, 2.0])])).collect() == []
+    assert wh.whitened_embeddings(frame(spark, [(1, [1.0, 2.0])] * 5)).collect() == []
+    assert wh.whitened_embeddings(frame(spark, [])).columns == [
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error",
+    ]
+
+
+def test_large_entries_stay_exact(spark):
+    draw = random.Random(3)
+    rows = [(i, [float(draw.randint(-(1 << 23), 1 << 23)) * 512, draw.random()]) for i in range(40)]
+    x = [[int(np.floor(64 * float(np.float32(c)))) + 1_000_000 for c in v] for _, v in rows]
+    sums = [sum(c) for c in zip(*x, strict=True)]
+    want = [sum((40 * a - s) ** 2 for a, s in zip(v, sums, strict=True)) for v in x]
+    got = {r["vec_id"]: r["deviation"] for r in wh.whitened_embeddings(frame(spark, rows)).collect()}
+    assert [got[i] for i in range(40)] == [w if w < 1 << 63 else None for w in want]
+    near = np.array([[a - 1_000_000 for a in v] for v in x], np.int64)
+    exact = [[sum(p * q for p, q in zip(near[:, i].tolist(), near[:, j].tolist(), strict=True)) for j in (0, 1)] for i in (0, 1)]
+    assert wh.scatter_of(near).tolist() == exact
+
+
+def test_the_factor_and_its_rotation():
+    draw = np.random.default_rng(1)
+    half = draw.normal(size=(7, 4))
+    matrix = half @ half.T
+    factor = wh.pivoted_cholesky(matrix)
+    assert factor.shape == (7, 4)
+    np.testing.assert_allclose(factor @ factor.T, matrix, atol=1e-12)
+    columns = wh.rotated(factor)
+    gram = columns.T @ columns
+    np.testing.assert_allclose(gram, np.diag(np.diag(gram)), atol=1e-12)
+    values, units = wh.decompose(matrix)
+    np.testing.assert_allclose(values, np.linalg.eigvalsh(matrix)[::-1][:4], rtol=1e-12)
+    np.testing.assert_allclose(matrix @ units, units * values, atol=1e-11)
