@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,6 +49,36 @@ def assert_unique(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     return df
 
 
+def unique_or_fail(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """The same rows; the plan fails while it runs when a key repeats.
+
+    The check is part of the plan: no job of its own, and a join on the same keys
+    reuses its partitioning. Each task keeps at most two rows of a key, so a key
+    with very many copies fails as cheaply as one with two.
+    """
+    names = [f"_u{i}" for i in range(len(keys))]
+    named = df.withColumns({n: F.col(k) for n, k in zip(names, keys, strict=True)})
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
+    first_two = named.withColumn("_place", place).where("_place <= 2")
+    found = F.concat_ws(", ", *[
+        F.concat(F.lit(f"{k}="), F.coalesce(F.col(n).cast("string"), F.lit("null")))
+        for n, k in zip(names, keys, strict=True)
+    ])
+    clash = F.raise_error(F.concat(F.lit(f"{label} has repeated key: "), found))
+    checked = first_two.where(F.when(F.col("_place") == 1, True).otherwise(clash.cast("boolean")))
+    return checked.drop("_place", *names)
+
+
+def codes_between(
+    df: DataFrame, start: dt.date, end: dt.date, date: str = "as_of_date"
+) -> DataFrame:
+    """Union of the codes of all dates in a range, each with its first and last date."""
+    inside = df.where(F.col(date).between(F.lit(start), F.lit(end)))
+    return inside.groupBy("thscode").agg(
+        F.min(date).alias("first_date"), F.max(date).alias("last_date")
+    )
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,

@@ -12,10 +12,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.functions.keys import latest_per_key
+from pitpanel.functions.keys import latest_per_key, unique_or_fail
 from pitpanel.functions.scalars import date_of, double_of
 from pitpanel.functions.windows import scope
 from pitpanel.operators.normalize import normalize_adjustments
+from pitpanel.operators.temporal import LAST_DAY
 from pitpanel.schemas import QUOTE_MEASURES
 
 VERSIONS = "array<struct<decision_date: date, adj_factor: double>>"
@@ -34,7 +35,9 @@ def derive_factors(
     right = adjusted.select(
         "trade_date", "thscode", F.col("close").alias("forward_adj_close")
     )
-    both = left.join(right, ["trade_date", "thscode"], "inner").where(
+    keys = ["trade_date", "thscode"]
+    left, right = unique_or_fail(left, keys, "raw closes"), unique_or_fail(right, keys, "adjusted closes")
+    both = left.join(right, keys, "inner").where(
         "raw_close > 0 AND forward_adj_close > 0"
     )
     return both.select(
@@ -57,25 +60,43 @@ def factor_versions(
     """Usable factor versions per (date, code) for output dates in a range.
 
     Versions first usable between the same two output dates collapse to the one
-    known last, so a key keeps at most one version per day of the range.
+    known last, and a version that changes nothing is left out, so a key keeps at
+    most one version per day of the range. Factors with ``seen_from`` and ``seen_to``
+    are usable only on those dates: behind them stands a version without a factor,
+    unless the next snapshot has one for the key.
     """
     factors = normalize_adjustments(adjustments).where("known_us IS NOT NULL")
+    seen = {"seen_from", "seen_to"} <= set(factors.columns)
     floor = [F.col("decision_date"), F.col("trade_date")]
     if start is not None:
         floor.append(F.lit(start))
-    factors = factors.select(
-        "trade_date", "thscode", "adj_factor", "known_us",
-        F.greatest(*floor).alias("decision_date"),
+    if seen:
+        floor.append(F.col("seen_from"))
+    first = F.greatest(*floor)
+    if seen:
+        factors = factors.where(first <= F.col("seen_to"))
+    found = factors.select(
+        "trade_date", "thscode", "adj_factor", F.lit(1).alias("_found"), "known_us",
+        first.alias("decision_date"),
     )
+    if seen:
+        ends = factors.where(F.col("seen_to") < F.lit(LAST_DAY)).select(
+            "trade_date", "thscode", F.date_add("seen_to", 1).alias("decision_date")
+        ).distinct()
+        found = found.unionByName(ends.withColumn("_found", F.lit(0)), allowMissingColumns=True)
     if end is not None:
-        factors = factors.where(F.col("decision_date") <= F.lit(end))
+        found = found.where(F.col("decision_date") <= F.lit(end))
     latest = latest_per_key(
-        factors, ["trade_date", "thscode", "decision_date"], ["known_us"]
+        found, ["trade_date", "thscode", "decision_date"], ["_found", "known_us"]
     )
     version = F.struct("decision_date", "adj_factor")
-    return latest.groupBy("trade_date", "thscode").agg(
+    listed = latest.groupBy("trade_date", "thscode").agg(
         F.array_sort(F.collect_list(version)).alias("versions")
     )
+    changes = F.expr(
+        "filter(versions, (v, i) -> NOT (i > 0 AND v.adj_factor <=> versions[i - 1].adj_factor))"
+    )
+    return listed.withColumn("versions", changes)
 
 
 def factor_known(versions: Column, date: Column) -> Column:

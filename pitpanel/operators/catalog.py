@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ DESCRIPTIONS = {
 }
 OTHER_DESCRIPTION = "verified snapshot artifact"
 STATE_DESCRIPTION = "PIT per-security adjusted-price and market-state fields"
-DERIVED = ("stock_state", "data_reference")
+DERIVED = ("stock_state", "reference_document")
 
 
 def artifact_rows(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -141,11 +142,19 @@ def upsert_market_history(
     ).drop("_new", "_row", "_rank")
 
 
-def missing_partitions(required: DataFrame, *datasets: DataFrame) -> DataFrame:
-    """Required dates that do not have rows in every one of the datasets."""
+def missing_partitions(
+    required: DataFrame, *datasets: DataFrame, columns: Sequence[Collection[str]] = ()
+) -> DataFrame:
+    """Required dates that do not have rows in every one of the datasets.
+
+    ``columns`` names what each dataset must have for its rows to be reusable, in the
+    same order; a dataset that lacks one of its columns has no reusable date.
+    """
     ready = None
-    for df in datasets:
+    for df, needed in zip_longest(datasets, columns, fillvalue=()):
         dates = df.select("as_of_date").distinct()
+        if not set(needed) <= set(df.columns):
+            dates = dates.limit(0)
         ready = dates if ready is None else ready.join(dates, "as_of_date", "left_semi")
     dates = required.select("trade_date").distinct()
     return dates.join(ready, dates["trade_date"] == ready["as_of_date"], "left_anti")
@@ -158,20 +167,45 @@ def upsert_module_status(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     )
 
 
-def source_snapshot_hash(
-    artifacts: DataFrame, provenance: Column | None = None
-) -> DataFrame:
-    """Hash per date over its provenance and its non-derived artifacts."""
+def provenance_text(artifacts: DataFrame, given: Mapping[str, str] | None = None) -> DataFrame:
+    """(trade_date, provenance): what a date was made of, as JSON with sorted keys.
+
+    ``given`` says where the data came from; the content hash and the schema signature
+    of every artifact join it.
+    """
+    entry = lambda name, value: F.struct(name.alias("key"), value.alias("value"))
+    found = F.array(
+        entry(F.concat("name", F.lit("_frame_sha256")), F.col("sha256")),
+        entry(F.concat("name", F.lit("_schema_signature")), F.col("schema_sha256")),
+    )
+    fixed = F.array(*[entry(F.lit(k), F.lit(v)) for k, v in sorted((given or {}).items())])
+    listed = F.flatten(F.collect_list(found))
+    if given:
+        listed = F.concat(listed, fixed)
+    pairs = F.map_from_entries(F.array_sort(listed))
+    return artifacts.groupBy("trade_date").agg(F.to_json(pairs).alias("provenance"))
+
+
+def source_snapshot_hash(artifacts: DataFrame) -> DataFrame:
+    """Hash per date over its provenance and its non-derived artifacts.
+
+    ``artifacts`` may have a ``provenance`` text, one per date; without it, or where
+    it is null, the provenance is empty.
+    """
     entry = F.struct("name", "rows", "sha256")
-    listed = F.array_sort(F.collect_list(entry))
-    given = provenance if provenance is not None else F.lit("{}")
+    given = F.max("provenance") if "provenance" in artifacts.columns else F.lit(None)
     text = F.to_json(F.struct(
         F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"),
-        given.alias("provenance"), F.col("artifacts").alias("artifacts"),
+        F.coalesce("_provenance", F.lit("{}")).alias("provenance"),
+        F.col("artifacts").alias("artifacts"),
     ))
     return (
         artifacts.where(~F.col("name").isin(*DERIVED))
-        .groupBy("trade_date").agg(listed.alias("artifacts"))
+        .groupBy("trade_date")
+        .agg(
+            F.array_sort(F.collect_list(entry)).alias("artifacts"),
+            given.cast("string").alias("_provenance"),
+        )
         .select("trade_date", F.sha2(text, 256).alias("source_snapshot_sha256"))
     )
 
@@ -183,22 +217,31 @@ def _described(name: Column) -> Column:
     return text
 
 
-def data_catalog(artifacts: DataFrame, state_rows: DataFrame) -> DataFrame:
+def data_catalog(
+    artifacts: DataFrame,
+    state_rows: DataFrame,
+    paths: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """One row per dataset and date: layer, path, rows, hash, description.
 
-    ``state_rows`` holds (trade_date, rows) of the derived state.
+    ``state_rows`` holds (trade_date, rows) of the derived state. ``paths`` gives the
+    folder of a dataset's date where a store knows it.
     """
     day = F.date_format("trade_date", "yyyy-MM-dd")
+    path = F.concat(F.lit("snapshots/"), day, F.lit("/"), F.col("name"))
+    for name, known in (paths or {}).items():
+        path = F.when(F.col("name") == name, known).otherwise(path)
+    state_path = F.concat(F.lit("features/stock_state/trade_date="), day)
     snapshot = artifacts.where(~F.col("name").isin(*DERIVED)).select(
         "trade_date", "name", F.lit("snapshot").alias("layer"),
-        F.concat(F.lit("snapshots/"), day, F.lit("/"), F.col("name")).alias("path"),
+        path.alias("path"),
         F.col("rows").cast("bigint").alias("rows"), "sha256",
         _described(F.col("name")).alias("description"),
     )
     derived = state_rows.select(
         "trade_date", F.lit("stock_state").alias("name"),
         F.lit("derived_feature").alias("layer"),
-        F.concat(F.lit("features/stock_state/trade_date="), day).alias("path"),
+        (paths or {}).get("stock_state", state_path).alias("path"),
         F.col("rows").cast("bigint").alias("rows"),
         F.lit(None).cast("string").alias("sha256"),
         F.lit(STATE_DESCRIPTION).alias("description"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.functions.keys import latest_per_key, require_columns
+from pitpanel.functions.keys import latest_per_key, require_columns, unique_or_fail
 from pitpanel.functions.scalars import (
     board_of, code_text, date_of, double_of, exchange_of, first_decision_date,
     instant_us,
@@ -59,6 +59,7 @@ def _with_universe(df: DataFrame, universe: DataFrame, date: str) -> DataFrame:
         F.col("as_of_date").alias(date), "thscode", "security_name", "exchange",
         "board",
     )
+    metadata = unique_or_fail(metadata, [date, "thscode"], "universe")
     own = [c for c in ("security_name", "exchange", "board") if c in df.columns]
     return df.drop(*own).join(metadata, [date, "thscode"], "left")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitpanel.functions.keys import unique_or_fail
 from pitpanel.functions.scalars import truthy
 from pitpanel.schemas import STATUS_COLUMNS
 
@@ -15,18 +16,23 @@ def build_daily_security_status(
     provider: str = "derived",
     endpoint: str = "universe+cmd_history_quotation",
 ) -> DataFrame:
-    """A missing quote stays ``no_quote_observed``; it is never a suspension."""
-    observed = quotes.select(
-        F.col("trade_date"), "thscode", "close", "volume", "amount",
+    """A missing quote stays ``no_quote_observed``; it is never a suspension.
+
+    Quotes and universe hold a (date, code) once, or the plan fails.
+    """
+    keys = ["trade_date", "thscode"]
+    observed = unique_or_fail(quotes.select(
+        "trade_date", "thscode", "close", "volume", "amount",
         F.lit(True).alias("_seen"),
-    )
+    ), keys, "quotes")
     listed = universe.select(
         F.col("as_of_date").alias("trade_date"), "thscode", "security_name",
         "exchange", "board",
     )
     traded = truthy((F.col("volume") > 0) & (F.col("amount") > 0))
     seen = truthy(F.col("_seen"))
-    return listed.join(observed, ["trade_date", "thscode"], "left").withColumns({
+    listed = unique_or_fail(listed, keys, "universe")
+    return listed.join(observed, keys, "left").withColumns({
         "quote_row_present": seen,
         "has_price_observation": F.col("close").isNotNull(),
         "has_turnover_observation": traded,

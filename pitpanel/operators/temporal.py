@@ -41,11 +41,35 @@ def active_on(df: DataFrame, date: dt.date) -> DataFrame:
     )
 
 
+def with_validity(df: DataFrame, start: dt.date, snapshots: DataFrame) -> DataFrame:
+    """Facts of many snapshots with the dates each is the newest one for.
+
+    ``snapshots`` lists their dates, ``df`` has ``as_of_date``. From ``start`` on, a
+    date sees the newest snapshot not after it: ``seen_from`` and ``seen_to`` bound
+    the dates that see a fact. Earlier snapshots than that of ``start`` are left out.
+    """
+    order = Window.orderBy("as_of_date")
+    spans = snapshots.select("as_of_date").distinct().withColumns({
+        "seen_from": F.col("as_of_date"),
+        "seen_to": F.coalesce(
+            F.date_sub(F.lead("as_of_date").over(order), 1), F.expr(f"DATE '{LAST_DAY}'")
+        ),
+    }).where(F.col("seen_to") >= F.lit(start))
+    return df.join(F.broadcast(spans), "as_of_date")
+
+
 def usable_intervals(df: DataFrame) -> DataFrame:
-    """Add the clipped ``first_day`` and ``last_day`` of use; drop empty intervals."""
+    """Add the clipped ``first_day`` and ``last_day`` of use; drop empty intervals.
+
+    Facts with ``seen_from`` and ``seen_to`` are usable only on those dates.
+    """
     low, high = F.expr(f"DATE '{FIRST_DAY}'"), F.expr(f"DATE '{LAST_DAY}'")
-    first = F.greatest(F.coalesce("effective_from", low), "decision_date", low)
-    last = F.least(F.coalesce("effective_to", high), high)
+    seen = {"seen_from", "seen_to"} <= set(df.columns)
+    first = F.greatest(
+        F.coalesce("effective_from", low), "decision_date", low,
+        *(["seen_from"] if seen else []),
+    )
+    last = F.least(F.coalesce("effective_to", high), high, *(["seen_to"] if seen else []))
     return (
         df.where(F.col("decision_date").isNotNull())
         .withColumn("first_day", first)
@@ -153,21 +177,34 @@ def winning_segments(
 def member_set_segments(
     df: DataFrame, owner: str, member: str, out: str
 ) -> DataFrame:
-    """Disjoint segments per owner with the sorted set of active members."""
+    """Disjoint segments per owner with the sorted set of active members.
+
+    An event sweep: every merged interval adds its member on its first day and takes
+    it away behind its last one. The events of an owner are read once in the order of
+    days; a day with events gives one set, made from the one before it.
+    """
     spans = merged_intervals(usable_intervals(df), [owner, member])
-    points = _breakpoints(spans, [owner])
-    inside = (
-        points.alias("p")
-        .join(
-            spans.alias("s"),
-            (F.col(f"p.{owner}") == F.col(f"s.{owner}"))
-            & F.col("p.day").between(F.col("s.first_day"), F.col("s.last_day")),
-            "left",
-        )
-        .groupBy(F.col(f"p.{owner}").alias(owner), F.col("p.day").alias("day"))
-        .agg(F.array_sort(F.collect_list(f"s.{member}")).alias(out))
+    event = lambda day, step: F.struct(
+        day.alias("day"), F.lit(step).alias("step"), F.col(member).alias("member")
+    )
+    events = spans.select(owner, F.inline(F.array(
+        event(F.col("first_day"), 1), event(F.date_add("last_day", 1), -1)
+    )))
+    # Per (owner, day): who comes and who goes; merged intervals never do both.
+    changes = events.groupBy(owner, "day").agg(
+        F.array_sort(F.collect_list(F.when(F.col("step") == 1, F.col("member")))).alias("come"),
+        F.array_sort(F.collect_list(F.when(F.col("step") == -1, F.col("member")))).alias("go"),
     )
-    return _as_segments(inside, [owner])
+    ordered = changes.groupBy(owner).agg(
+        F.array_sort(F.collect_list(F.struct("day", "come", "go"))).alias("_changes")
+    )
+    kind = df.schema[member].dataType.simpleString()
+    sets = f"""aggregate(_changes, CAST(array() AS array<struct<day: date, held: array<{kind}>>>),
+        (sets, e) -> array_append(sets, named_struct('day', e.day, 'held', array_sort(array_union(
+            array_except(coalesce(get(sets, size(sets) - 1).held, CAST(array() AS array<{kind}>)), e.go),
+            e.come)))))"""
+    points = ordered.select(owner, F.inline(F.expr(sets))).withColumnRenamed("held", out)
+    return _as_segments(points, [owner])
 
 
 def join_segments(
@@ -207,6 +244,7 @@ def industry_segments(membership: DataFrame, level: str, prefix: str) -> DataFra
         (F.upper("classification_system") == "SW") & (F.col("level") == level)
     ).select(
         "thscode", "effective_from", "effective_to", "known_us", "decision_date",
+        *[c for c in ("seen_from", "seen_to") if c in membership.columns],
         F.col("industry_code").alias(f"{prefix}_code"),
         F.col("industry_name").alias(f"{prefix}_name"),
     )
@@ -261,7 +299,12 @@ def active_index_counts(membership: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def actions_effective(actions: DataFrame) -> DataFrame:
-    """Known action types per (effective date, code), as a sorted set."""
+    """Known action types per (effective date, code), as a sorted set.
+
+    Actions with ``seen_from`` and ``seen_to`` count only on those dates.
+    """
+    if {"seen_from", "seen_to"} <= set(actions.columns):
+        actions = actions.where(F.col("effective_at").between(F.col("seen_from"), F.col("seen_to")))
     known = actions.where(
         (F.col("decision_date") <= F.col("effective_at"))
         & F.col("event_type").isNotNull()

@@ -5,15 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitpanel.functions import scalars as S
 from pitpanel.functions import windows as W
 from pitpanel.functions.hashing import content_hash
-from pitpanel.functions.keys import duplicate_keys, outside
-from pitpanel.functions.stages import stage
+from pitpanel.functions.keys import codes_between, duplicate_keys, outside
+from pitpanel.functions.stages import shared_folder, stage
 from pitpanel.operators import calendar as C
 from pitpanel.operators import catalog as CA
 from pitpanel.operators import document as D
@@ -26,7 +26,9 @@ from pitpanel.operators import summary as SU
 from pitpanel.operators import temporal as TP
 from pitpanel.operators import tradability as TR
 from pitpanel.operators.adjust import apply_adjustments, derive_factors, known_factors
-from pitpanel.operators.explorer import explorer_page, explorer_rows, filter_explorer
+from pitpanel.operators.explorer import (
+    DIGITS, SORTS, explorer_page, explorer_rows, filter_explorer, sort_columns,
+)
 from pitpanel.operators.state import (
     StateInputs, build_stock_state, with_benchmark_relative, with_industry_relative,
 )
@@ -34,6 +36,7 @@ from pitpanel.plans.role_sql import BOARD, EXCHANGE, with_views
 from pitpanel.plans.roles import Roles
 from pitpanel.schemas import QUOTE_MEASURES, STOCK_STATE_FIELDS
 from pitpanel.sources.landing import flatten_tables
+from pitpanel.sources.store import Store, new_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -247,6 +250,87 @@ def _(r: Roles) -> DataFrame:
     )
 
 
+@query("sessions_resolved", f"""
+SELECT 'last_63' AS asked, trade_date FROM (SELECT trade_date FROM trading_calendar
+    WHERE is_open AND trade_date <= DATE '{AS_OF}' ORDER BY trade_date DESC LIMIT 63) a
+UNION ALL SELECT 'since_1998_11_02', trade_date FROM trading_calendar
+WHERE is_open AND trade_date BETWEEN DATE '1998-11-02' AND DATE '{AS_OF}'""")
+def _(r: Roles) -> DataFrame:
+    """The two ways to ask for a backfill's sessions: a count, and a first day."""
+    days = stage(r.trading_calendar, "calendar")
+    last = C.resolve_sessions(days, AS_OF, sessions=63)
+    since = C.resolve_sessions(days, AS_OF, start=dt.date(1998, 11, 2))
+    named = lambda df, name: df.select(F.lit(name).alias("asked"), "trade_date")
+    return named(last, "last_63").unionByName(named(since, "since_1998_11_02"))
+
+
+@query("codes_between", f"""
+SELECT thscode, min(as_of_date) AS first_date, max(as_of_date) AS last_date FROM universe
+WHERE as_of_date BETWEEN DATE '1998-11-02' AND DATE '{AS_OF}' GROUP BY 1""")
+def _(r: Roles) -> DataFrame:
+    return codes_between(r.universe, dt.date(1998, 11, 2), AS_OF)
+
+
+# The store -------------------------------------------------------------------
+
+REPUBLISHED = (dt.date(1999, 5, 1), dt.date(1999, 5, 31))
+
+
+@query("committed_history", f"""
+SELECT trade_date, thscode, close,
+       amount + CASE WHEN trade_date BETWEEN DATE '{REPUBLISHED[0]}' AND DATE '{REPUBLISHED[1]}' THEN 1 ELSE 0 END AS amount
+FROM daily_quotes
+WHERE trade_date IN (SELECT trade_date FROM trade_dates WHERE trade_date <= DATE '{AS_OF}'
+                     ORDER BY trade_date DESC LIMIT 252)""")
+def _(r: Roles) -> DataFrame:
+    """History read from a store: all dates published, a month published again, and
+    the same month written once more without its commit."""
+    store = Store(r.spark, f"{shared_folder(r.spark)}/{new_version()}")
+    bars = stage(r.coded_bars.select("trade_date", "thscode", "close", "amount"), "bars")
+    again = bars.where(F.col("trade_date").between(*map(F.lit, REPUBLISHED)))
+    more = lambda n: again.withColumn("amount", F.col("amount") + n)
+    store.write("daily_quotes", bars)
+    store.write("daily_quotes", more(1.0))
+    store.put("daily_quotes", more(100.0))
+    return store.load_market_history(AS_OF, 252).select(
+        "trade_date", "thscode", "close", "amount"
+    )
+
+
+@query("current_derived_dates", """
+SELECT c.trade_date, 1 AS derived FROM trading_calendar c WHERE c.is_open
+UNION ALL SELECT c.trade_date, 2 FROM trading_calendar c
+WHERE NOT c.is_open AND c.trade_date < DATE '1996-01-01'""")
+def _(r: Roles) -> DataFrame:
+    """Derived rows that fit their date's sources. Every date is published and derived;
+    then the closed ones are published with other rows, and some are derived again."""
+    store = Store(r.spark, f"{shared_folder(r.spark)}/{new_version()}")
+    hashed = stage(content_hash(r.bar_keys, ["trade_date"], HASH_COLUMNS), "hashes")
+    closed = r.trading_calendar.where(~F.col("is_open")).select("trade_date")
+
+    def publish(rows: DataFrame) -> None:
+        store.commit(rows.select(
+            "trade_date", F.lit("daily_quotes").alias("name"), F.lit(new_version()).alias("version"),
+            "rows", "sha256",
+        ))
+
+    def derive(rows: DataFrame, number: int) -> None:
+        sources = store.source_hashes().join(rows.select("trade_date"), "trade_date", "left_semi")
+        store.commit(stage(sources, "sources").select(
+            "trade_date", F.lit("stock_state").alias("name"), F.lit(f"v-{number}").alias("version"),
+            F.col("source_snapshot_sha256").alias("source_sha256"),
+        ))
+
+    publish(hashed)
+    derive(hashed, 1)
+    changed = hashed.join(closed, "trade_date", "left_semi").withColumn("rows", F.col("rows") + 1)
+    publish(changed)
+    derive(changed.where("trade_date < DATE '1996-01-01'"), 2)
+    return store.committed("stock_state").select(
+        "trade_date", F.substring("version", 3, 1).cast("int").alias("derived")
+    )
+
+
 # Windows ---------------------------------------------------------------------
 
 
@@ -984,8 +1068,12 @@ def _(r: Roles) -> DataFrame:
 
 
 def explorer(r: Roles) -> DataFrame:
-    """Quotes and universe feed all three inputs, so each is written once."""
-    r = r.staged()
+    """Quotes and universe feed all three inputs, so each is written once.
+
+    The keys of the quotes are all that the universe is made of.
+    """
+    quoted = stage(r.coded_quotes, "daily_quotes")
+    r = r.with_quotes(quoted)
     listed = stage(universe(r), "universe")
     return explorer_rows(
         ST.build_daily_security_status(listed, r.daily_quotes),
@@ -1002,9 +1090,65 @@ FROM status s LEFT JOIN reference_daily r ON s.trade_date = r.as_of_date AND s.t
 LEFT JOIN daily_quotes q ON s.trade_date = q.trade_date AND s.thscode = q.thscode"""
 
 
-@query("explorer_rows", EXPLORER_SQL)
+EXPLORER_TEXTS = ("security_name", "exchange", "board", "observation_state", "listing_date")
+
+
+@query("explorer_rows", f"""
+SELECT trade_date, thscode, observation_state, sha256(concat_ws('|',
+    {', '.join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in EXPLORER_TEXTS)},
+    {', '.join(f"coalesce(CAST(CAST({c} AS DECIMAL(30,{d})) AS VARCHAR), '~')" for c, d in DIGITS.items())})) AS row_sha256
+FROM ({EXPLORER_SQL}) e""")
 def _(r: Roles) -> DataFrame:
-    return explorer(r)
+    """Every row, its fifteen values as one digest: the table is wide and long."""
+    texts = [F.col(c).cast("string") for c in EXPLORER_TEXTS]
+    texts += [F.col(c).cast(f"decimal(30,{d})").cast("string") for c, d in DIGITS.items()]
+    joined = F.concat_ws("|", *[F.coalesce(t, F.lit("~")) for t in texts])
+    return explorer(r).select(
+        "trade_date", "thscode", "observation_state", F.sha2(joined, 256).alias("row_sha256")
+    )
+
+
+SORT_SQL = {
+    "code_asc": "thscode", "change_desc": "change_ratio DESC NULLS LAST, thscode",
+    "change_asc": "change_ratio ASC NULLS LAST, thscode", "amount_desc": "amount DESC NULLS LAST, thscode",
+    "turnover_desc": "turnover_ratio DESC NULLS LAST, thscode",
+}
+
+
+@query("explorer_sorts", f"""
+SELECT sort_name, CASE sort_name {' '.join(f"WHEN '{n}' THEN row_number() OVER (PARTITION BY sort_name ORDER BY {o})" for n, o in SORT_SQL.items())} END AS place,
+       thscode, change_ratio, amount, turnover_ratio
+FROM ({EXPLORER_SQL}) e, (VALUES {', '.join(f"('{n}')" for n in SORT_SQL)}) v(sort_name)
+WHERE trade_date = DATE '{AS_OF}' AND exchange = 'SSE' AND board = 'SSE_MAIN'
+  AND observation_state <> 'quote_without_turnover'""")
+def _(r: Roles) -> DataFrame:
+    """All five sorts of one date's list, filtered by exchange, board and state."""
+    rows = explorer(r).where(F.col("trade_date") == F.lit(AS_OF))
+    wanted = filter_explorer(rows, exchange="SSE", board="SSE_MAIN").where(
+        F.col("observation_state") != "quote_without_turnover"
+    )
+    wanted = stage(wanted, "explorer")
+    out = None
+    for name in SORTS:
+        # One date's codes of one board: a list of bounded length.
+        place = F.row_number().over(Window.orderBy(*sort_columns(name)))
+        part = wanted.select(
+            F.lit(name).alias("sort_name"), place.cast("bigint").alias("place"), "thscode",
+            "change_ratio", "amount", "turnover_ratio",
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("counts_descending", """
+SELECT trade_date, string_agg(observation_state || ':' || CAST(n AS VARCHAR), ',' ORDER BY n DESC, observation_state) AS counts
+FROM (SELECT trade_date, observation_state, count(*) AS n FROM status GROUP BY 1, 2) s GROUP BY 1""")
+def _(r: Roles) -> DataFrame:
+    listed = SU.counts_descending(status(r), "observation_state")
+    texts = F.transform("counts", lambda e: F.concat(
+        e["observation_state"], F.lit(":"), e["row_count"].cast("string")
+    ))
+    return listed.select("trade_date", F.array_join(texts, ",").alias("counts"))
 
 
 @query("explorer_page", f"""

@@ -27,6 +27,20 @@ class Roles:
         out.__dict__["daily_quotes"] = stage(self.daily_quotes, "daily_quotes")
         return out
 
+    @property
+    def coded_quotes(self) -> DataFrame:
+        """Quotes with the number of their code."""
+        return self.daily_quotes.join(self.codes.select("thscode", "s_suppkey"), "thscode")
+
+    def with_quotes(self, quotes: DataFrame) -> "Roles":
+        """The same roles over quotes that are already written, keys included."""
+        out = Roles(self.spark, self.sf_dir)
+        out.__dict__["daily_quotes"] = quotes.drop("s_suppkey")
+        out.__dict__["bar_keys"] = quotes.select(
+            "trade_date", "thscode", "s_suppkey", "security_name"
+        )
+        return out
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
