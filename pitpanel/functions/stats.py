@@ -1,4 +1,4 @@
-"""Exact median per group that never gathers a group in one task."""
+"""Exact median and reproducible sums per group; no group is gathered in one task."""
 
 from __future__ import annotations
 
@@ -73,3 +73,73 @@ def exact_median(
         F.expr(f"CASE WHEN _from < _high AND _high <= _upto THEN `{value}` END")
     )
     return ranked.groupBy(*groups).agg(((low + high) / 2).alias(out))
+
+
+# A part of a double is a whole number of 2^(32 * bin); three parts hold all 53 bits.
+_BIN_BITS = 32
+_LOWEST_BIN = -30
+
+
+def reproducible_sums(
+    df: DataFrame, groups: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """Per group ``<value>_sum`` and ``<value>_count`` of the non-null doubles.
+
+    Doubles are cut into whole numbers of powers of 2^32, which add up exactly in any
+    order; their totals are put together in a fixed order at the end. So the sum does
+    not depend on partitions, and its error doesn't grow with the number of rows.
+    Values that are not finite add up among themselves and then decide the result.
+    """
+    groups = list(groups)
+    pair = lambda name: F.struct(
+        F.lit(name).alias("name"), F.col(name).cast("double").alias("v")
+    )
+    long = df.select(*groups, F.inline(F.array(*[pair(v) for v in values])))
+    finite = F.expr("NOT isnan(v) AND abs(v) < double('infinity')")
+    lowest = _LOWEST_BIN + 2
+    size = F.expr(f"""CASE WHEN v = 0 OR isnan(v) OR abs(v) = double('infinity') THEN {lowest}
+        ELSE greatest(CAST(floor(log2(abs(v)) / {_BIN_BITS}) AS INT), {lowest}) END""")
+    cut = long.where("v IS NOT NULL").withColumns({"_finite": finite, "_top": size})
+    unit = lambda i: f"power(2D, CAST({_BIN_BITS} * (_top - {i}) AS DOUBLE))"
+    whole = lambda rest, i: f"CAST({rest} / {unit(i)} AS BIGINT)"
+    cut = cut.withColumn("_d0", F.expr(f"CASE WHEN _finite THEN {whole('v', 0)} ELSE 0 END"))
+    cut = cut.withColumn("_r1", F.expr(f"CASE WHEN _finite THEN v - _d0 * {unit(0)} ELSE 0D END"))
+    cut = cut.withColumn("_d1", F.expr(whole("_r1", 1)))
+    cut = cut.withColumn("_d2", F.expr(whole(f"(_r1 - _d1 * {unit(1)})", 2)))
+    part = lambda i: F.struct(
+        (F.col("_top") - i).alias("bin"), F.col(f"_d{i}").alias("digits"),
+        F.lit(1 if i == 0 else 0).alias("counted"),
+        F.when(~F.col("_finite"), F.col("v")).alias("odd"),
+    )
+    # Per (group, value, bin): at most 64 rows a group and value.
+    totals = cut.select(*groups, "name", F.inline(F.array(*[part(i) for i in range(3)]))).groupBy(
+        *groups, "name", "bin"
+    ).agg(
+        F.sum(F.col("digits").cast("decimal(20,0)")).alias("digits"),
+        F.sum("counted").alias("counted"), F.sum("odd").alias("odd"),
+    )
+    # Each total becomes two numbers that a double holds exactly.
+    step = f"{1 << _BIN_BITS}BD"
+    high = F.expr(f"CAST(digits div {step} AS DECIMAL(38,0))")
+    carried = totals.withColumn("_high", high).withColumn("_low", F.expr(f"digits - _high * {step}"))
+    term = lambda digits: F.col(digits).cast("double") * F.pow(
+        F.lit(2.0), (F.lit(_BIN_BITS) * F.col("bin")).cast("double")
+    )
+    terms = F.array_sort(F.flatten(F.collect_list(F.array(
+        F.struct((-F.col("bin") - 1).alias("o"), F.lit(0).alias("p"), (term("_high") * float(1 << _BIN_BITS)).alias("x")),
+        F.struct((-F.col("bin")).alias("o"), F.lit(1).alias("p"), term("_low").alias("x")),
+    ))))
+    # Added from the largest bin down, keeping what each addition rounds off.
+    folded = """aggregate(_terms, named_struct('s', 0D, 'c', 0D), (a, t) -> named_struct(
+        's', a.s + t.x,
+        'c', a.c + CASE WHEN abs(a.s) >= abs(t.x) THEN (a.s - (a.s + t.x)) + t.x
+                        ELSE (t.x - (a.s + t.x)) + a.s END), a -> a.s + a.c)"""
+    summed = carried.groupBy(*groups, "name").agg(
+        terms.alias("_terms"), F.sum("counted").alias("_count"), F.sum("odd").alias("_odd")
+    ).select(*groups, "name", F.coalesce("_odd", F.expr(folded)).alias("_sum"), "_count")
+    mine = lambda v, column: F.max(F.when(F.col("name") == v, F.col(column)))
+    found = summed.groupBy(*groups).agg(
+        *[mine(v, "_sum").alias(f"{v}_sum") for v in values],
+        *[F.coalesce(mine(v, "_count"), F.lit(0)).cast("bigint").alias(f"{v}_count") for v in values],
+    )
+    return found

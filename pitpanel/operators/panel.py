@@ -5,8 +5,10 @@ adjusted with the factors known by its own cutoff, exactly as if the panel had
 been built for that date alone.
 
 A code whose factors all were known by their own date needs plain windows. A
-code with later versions gathers the lookback rows of the date (at most
-``sessions``) and resolves their factors at the date's cutoff.
+code with later versions gathers the rows that the longest measure looks at (the
+last 252, or those of ``sessions``) and resolves their factors at the date's cutoff.
+What looks back without a bound, the first row that has a factor by then, is a
+running minimum over the days on which factors become usable.
 """
 
 from __future__ import annotations
@@ -81,6 +83,29 @@ def _lookback_returns(values: Column, n: int) -> Column:
     return F.zip_with(later, earlier, lambda x, y: pct(x, y))
 
 
+def _with_first_usable(rows: DataFrame) -> DataFrame:
+    """Add ``_first``: the earliest row of the code that has a factor by the row's date.
+
+    A row can serve as base from the later of its own date and the first decision
+    date of a factor of it. One pass over these days, sorted together with the rows
+    that ask, keeps the earliest row so far; nothing is gathered.
+    """
+    known = F.filter("versions", lambda v: v["adj_factor"].isNotNull())
+    usable_from = F.get(known, F.lit(0))["decision_date"]
+    point = F.struct("session_no", "close", "versions")
+    events = rows.where(F.col("close").isNotNull() & usable_from.isNotNull()).select(
+        "thscode", usable_from.alias("_day"), F.lit(0).alias("_kind"), point.alias("_point"),
+    )
+    asking = rows.withColumns({"_day": F.col("trade_date"), "_kind": F.lit(1)})
+    so_far = Window.partitionBy("thscode").orderBy("_day", "_kind").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    both = asking.unionByName(events, allowMissingColumns=True)
+    return both.withColumn("_first", F.min("_point").over(so_far)).where("_kind = 1").drop(
+        "_day", "_kind", "_point"
+    )
+
+
 def _once(value: Column, use) -> Column:
     """``use(value)`` with the value computed a single time."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -110,8 +135,12 @@ def history_panel(
 
     ``history`` must be unique per (date, code) and hold the lookback before
     ``start``; its other columns pass through. ``dates`` lists the market
-    sessions when they are cheaper to read than from ``history``.
+    sessions when they are cheaper to read than from ``history``. Without a limit of
+    ``sessions`` a factor, once known, must stay known: facts of several snapshots
+    (``with_validity``) need the limit.
     """
+    if sessions is None and "seen_to" in adjustments.columns:
+        raise ValueError("factors of several snapshots need a limit of sessions")
     if end is not None:
         history = history.where(F.col("trade_date") <= F.lit(end))
     numbered = numbered_sessions(distinct_dates(history) if dates is None else dates)
@@ -129,6 +158,9 @@ def history_panel(
     })
     own, seen = F.col("_own"), F.col("history_sessions")
     point = F.when(F.col("_late"), F.struct("close", "versions"))
+    gathered = W.last_rows(max(HIGHS)) if sessions is None else lookback
+    if sessions is None:
+        rows = _with_first_usable(rows)
     lagged = {
         f"_lag{p}": F.lag("close", p).over(W.by_code())
         * factor_known(F.lag("versions", p).over(W.by_code()), date)
@@ -144,7 +176,7 @@ def history_panel(
         "adt20": F.when(seen >= 20, W.rolling_mean(F.col("amount"), 20)),
         "turnover_change_pct": F.when(seen > 1, W.change_over(F.col("turnover_ratio"), 1)),
         "amount_change_pct": F.when(seen > 1, W.change_over(F.col("amount"), 1)),
-        "_points": F.collect_list(point).over(lookback),
+        "_points": F.collect_list(point).over(gathered),
     })
     rows = rows.withColumn("_daily", W.change_over(own, 1)).withColumn(
         "_series",
@@ -154,7 +186,10 @@ def history_panel(
     )
     late, series = F.col("_late"), F.col("_series")
     plain_base = F.first("_own", ignorenulls=True).over(lookback)
-    late_base = F.get(F.filter(series, lambda v: v.isNotNull()), F.lit(0))
+    if sessions is None:
+        late_base = F.col("_first.close") * factor_known(F.col("_first.versions"), date)
+    else:
+        late_base = F.get(F.filter(series, lambda v: v.isNotNull()), F.lit(0))
     out = {
         f"return_{p}d_pct": F.when(seen > p, pct(own, F.col(f"_lag{p}")))
         for p in RETURN_PERIODS

@@ -1,3 +1,5 @@
+import datetime as dt
+import math
 import random
 import statistics
 
@@ -6,9 +8,13 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions.hashing import content_hash, schema_signature
 from pitpanel.functions.keys import (
-    assert_unique, fit_columns, latest_per_key, outside, spread_join,
+    assert_unique, fit_columns, latest_per_key, outside, spread_join, unique_or_fail,
 )
-from pitpanel.functions.stats import exact_median
+from pitpanel.functions.stats import exact_median, reproducible_sums
+from pitpanel.operators.adjust import derive_factors
+from pitpanel.operators.explorer import explorer_rows
+from pitpanel.operators.normalize import normalize_quotes
+from pitpanel.operators.status import build_daily_security_status
 
 
 @pytest.mark.parametrize("split_above", [5, 10_000])
@@ -72,3 +78,61 @@ def test_unique_and_outside(spark):
 def test_fit_columns_adds_typed_nulls(spark):
     out = fit_columns(spark.range(1), (("id", "int"), ("x", "array<string>")))
     assert [f.dataType.simpleString() for f in out.schema] == ["int", "array<string>"]
+
+
+def test_reproducible_sums_do_not_depend_on_partitions(spark):
+    draw = random.Random(12)
+    rows = []
+    for _ in range(3000):
+        kind = draw.randrange(5)
+        v = draw.uniform(-50, 50) if kind < 2 else draw.choice([1e300, -1e300, 1e16, -1e16, 3e-200, 0.0, -0.0]) if kind == 2 else draw.uniform(-1, 1) * 10.0 ** draw.randint(-20, 20)
+        rows.append((draw.choice(["hot", "hot", "hot", "a", "b"]), v, None if draw.random() < 0.1 else draw.gauss(0, 1)))
+    rows += [("none", None, None), ("one", 0.1, 2.5), ("odd", float("nan"), float("inf")), ("odd", 1.0, 1.0), ("odd", 2.0, float("inf"))]
+    found = []
+    for parts in (1, 7, 40):
+        frame = spark.createDataFrame(rows, "k string, v double, w double").repartition(parts)
+        found.append({r["k"]: tuple(map(repr, r[1:])) for r in reproducible_sums(frame, ["k"], ["v", "w"]).collect()})
+    assert found[0] == found[1] == found[2]
+    for k in ("hot", "a", "b", "one"):
+        for i, name in ((1, 0), (2, 1)):
+            values = [r[i] for r in rows if r[0] == k and r[i] is not None]
+            total, count = float(found[0][k][name]), int(found[0][k][2 + name])
+            assert count == len(values)
+            assert abs(total - math.fsum(values)) <= 4e-16 * abs(math.fsum(values))
+    assert "none" not in found[0] or found[0]["none"][:2] == ("None", "None")
+    assert found[0]["odd"][:2] == ("nan", "inf")
+
+
+def test_cancelling_values_leave_the_exact_rest(spark):
+    rows = [("a", 1e16), ("a", 1.0), ("a", -1e16), ("a", 1e-9)] * 5
+    frame = spark.createDataFrame(rows, "k string, v double")
+    assert reproducible_sums(frame, ["k"], ["v"]).first()["v_sum"] == math.fsum(v for _, v in rows)
+
+
+def test_a_repeated_key_fails_while_the_plan_runs(spark):
+    frame = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 1)], "k string, n int")
+    assert unique_or_fail(frame.where("n < 3"), ["k"], "rows").count() == 3
+    with pytest.raises(Exception, match="rows has repeated key: k=b"):
+        unique_or_fail(frame, ["k"], "rows").collect()
+    with pytest.raises(Exception, match="repeated key"):  # the pair is not read, the check still runs
+        unique_or_fail(frame, ["k"], "rows").select(F.lit(1).alias("one")).collect()
+
+
+@pytest.mark.parametrize("case", ["universe", "quotes", "reference", "status", "raw", "adjusted", "metadata"])
+def test_joins_refuse_a_planted_duplicate(spark, case):
+    day = dt.date(2026, 8, 17)
+    twice = lambda df, name: df.unionByName(df) if name == case else df
+    listed = spark.createDataFrame([(day, "600000.SH", "n", "SSE", "SSE_MAIN")], "as_of_date date, thscode string, security_name string, exchange string, board string")
+    measures = "close pre_close avg_price volume amount turnover_ratio change_ratio open high low".split()
+    quotes = spark.createDataFrame([(day, "600000.SH", *[1.0] * len(measures), "p", "e")], "trade_date date, thscode string, " + ", ".join(f"{m} double" for m in measures) + ", source_provider string, source_endpoint string")
+    shares = listed.select("as_of_date", "thscode", F.lit(day).alias("listing_date"), F.lit(1.0).alias("total_shares"), F.lit(1.0).alias("float_a_shares"))
+    with pytest.raises(Exception, match="has repeated key: trade_date=2026-08-17, thscode=600000.SH"):
+        if case in ("universe", "quotes"):
+            build_daily_security_status(twice(listed, "universe"), twice(quotes, "quotes")).collect()
+        elif case in ("raw", "adjusted"):
+            derive_factors(twice(quotes, "raw"), twice(quotes, "adjusted"), F.lit(None).cast("timestamp"), "m", "p", "e").collect()
+        elif case == "metadata":
+            normalize_quotes(quotes, twice(listed, "metadata")).collect()
+        else:
+            status = build_daily_security_status(listed, quotes)
+            explorer_rows(twice(status, "status"), twice(shares, "reference"), quotes).collect()
