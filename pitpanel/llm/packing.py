@@ -11,6 +11,7 @@ piece's number names its place. No task or group holds all pieces of a length.
 from __future__ import annotations
 
 import base64
+import re
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -32,6 +33,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 END_OF_TEXT = "<|endoftext|>"
 END_OF_TEXT_ID = 50256
 
+#: A run of blanks, letters or other marks this long is left to the slower ``tokenizers``
+#: library, which has no limit on it; the ids of both are the same.
+LONG_RUN = 100_000
+LONG = re.compile(rf"\s{{{LONG_RUN}}}|\w{{{LONG_RUN}}}|[^\s\w]{{{LONG_RUN}}}")
+
 PIECES = "id {kind}, piece int, start long, length long, ids binary"
 #: Pieces of one length that a task numbers at once, on average.
 RANK_ROWS = 20_000
@@ -52,6 +58,24 @@ def encoder(vocabulary: str):
     )
 
 
+@lru_cache(maxsize=1)
+def patient_encoder(vocabulary: str):
+    """The ``tokenizers`` form of the vocabulary beside ``vocabulary``."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    beside = re.sub(r"[.]tiktoken$", ".json", vocabulary)
+    return Tokenizer.from_file(beside if "/" in beside else public_tokenizers.path(beside))
+
+
+def token_ids(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
+    """The ids of a whole text."""
+    if len(text) >= LONG_RUN and LONG.search(text):
+        found = patient_encoder(vocabulary).encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, np.uint32)
+    return encoder(vocabulary).encode_to_numpy(text, allowed_special="all")
+
+
 def token_pieces(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str = VOCABULARY,
@@ -63,16 +87,13 @@ def token_pieces(
     capacity are cut, into full pieces behind a first one that may be shorter.
     """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary)
         for batch in batches:
             done = 0
             for part in chunks(batch["text"]):
                 ids, out = batch["id"].iloc[done : done + len(part)], []
                 done += len(part)
                 for key, text in zip(ids, part, strict=True):
-                    tokens = np.append(
-                        encode.encode_to_numpy(text.decode("utf-8", "replace"), allowed_special="all"), end_id
-                    ).astype("<u4")
+                    tokens = np.append(token_ids(text.decode("utf-8", "replace"), vocabulary), end_id).astype("<u4")
                     edges = [0, *range(len(tokens) % capacity or capacity, len(tokens) + 1, capacity)]
                     if len(tokens) <= capacity:
                         edges = [0, len(tokens)]
@@ -222,7 +243,7 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
     """
     spark = pieces.sparkSession
     ship(spark)
-    row, chunk, number, before = fresh(pieces, "row", "chunk", "number", "before")
+    row, chunk, number, before, spot = fresh(pieces, "row", "chunk", "number", "before", "spot")
     held = stage(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
     counted = {r[0]: r[1] for r in held.groupBy(at(length_col).cast("long")).count().collect()}
     counted.pop(capacity, None)
@@ -253,8 +274,8 @@ def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY
             before, F.sum(at(before)).over(Window.partitionBy(at(length_col)).orderBy(at(chunk))) - at(before)
         )
         numbered = numbered.join(starts, [length_col, chunk]).withColumn(number, at(number) + at(before))
-    placed = numbered.withColumn("__place", place(at(length_col), at(number).cast("long"))).withColumns(
-        {"sequence_id": F.col("__place.sequence_id"), "offset": F.col("__place.offset")}
+    placed = numbered.withColumn(spot, place(at(length_col), at(number).cast("long"))).withColumns(
+        {"sequence_id": at(spot)["sequence_id"], "offset": at(spot)["offset"]}
     )
     names = list(dict.fromkeys([*pieces.columns, "sequence_id", "offset"]))
     return placed.select([at(c) for c in names]).unionByName(alone.select([at(c) for c in names]))

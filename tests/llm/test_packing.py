@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from pitpanel.llm import packing
 from pitpanel.llm.packing import best_fit, encoder, pack_documents, packed_sequences, pattern_plan
 
 SCHEMA = "doc_id long, text string, length string, sequence_id string"
@@ -89,3 +90,18 @@ def test_best_fit_by_hand():
 
 def test_an_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, "b " + "\t" * 300_000 + "c", "-" * 200_000 + "x"])
+def test_very_long_runs_give_the_ids_of_tokenizers(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.token_ids(text).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_documents_of_blanks_are_packed(spark):
+    docs = spark.createDataFrame([(1, " " * 1_500_000), (2, "x"), (3, None)], "doc_id long, text string")
+    rows = packing.pack_documents(docs).collect()
+    assert sum(r["length"] for r in rows if r["doc_id"] == 1) == 1_500_001
