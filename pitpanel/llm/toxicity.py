@@ -92,24 +92,37 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, end, sum), in order; linear time.
 
     Only positive entries start work; each new one joins the earlier candidates
-    that it extends.
+    that it extends. A candidate knows the latest one before it that starts lower, so
+    those between are skipped, and where none starts lower all of them are final.
     """
-    out: list[tuple[int, int, float, float]] = []  # first, end, sum before, sum with
-    sums = np.concatenate([[0.0], np.cumsum(scores)])
-    for i in np.flatnonzero(scores > 0):
-        first, before, upto = int(i), float(sums[i]), float(sums[i + 1])
-        end = first + 1
+    done: list[tuple[int, int, float]] = []
+    held: list[tuple[int, int, float, float, int]] = []  # first, end, sum before, sum with, lower one
+    sums = np.concatenate([[0.0], np.cumsum(scores)]).tolist()
+    for i in np.flatnonzero(scores > 0).tolist():
+        first, before, upto, j = i, sums[i], sums[i + 1], len(held) - 1
         while True:
-            # The latest candidate that starts lower.
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= before:
-                j -= 1
-            if j < 0 or out[j][3] >= upto:
+            while j >= 0 and held[j][2] >= before:
+                j = held[j][4]
+            if j < 0:
+                done += [(a, b, y - x) for a, b, x, y, _ in held]
+                held = []
                 break
-            first, before = out[j][0], out[j][2]
-            del out[j:]
-        out.append((first, end, before, upto))
-    return [(a, b, upto - before) for a, b, before, upto in out]
+            if held[j][3] >= upto:
+                break
+            first, before, lower = held[j][0], held[j][2], held[j][4]
+            del held[j:]
+            j = lower
+        held.append((first, i + 1, before, upto, j))
+    return done + [(a, b, y - x) for a, b, x, y, _ in held]
+
+
+def places_of(text: str, lowered: str) -> list[tuple[int, int]]:
+    """Spans of the words of ``lowered`` in ``text``; some letters get longer in lower case."""
+    spans = [m.span() for m in WORDS.finditer(lowered)]
+    if len(text) == len(lowered):
+        return spans
+    source = [i for i, c in enumerate(text) for _ in c.lower()]
+    return [(source[a], source[b - 1] + 1) for a, b in spans]
 
 
 def figures(text: str, scores: WordScores) -> tuple[float, float, int, list[tuple[int, int, float]]]:
@@ -261,7 +274,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                         chance = np.exp(-model.best.surprise(np.array([s for _, _, s in found]), np.full(len(found), n)))
                         good = [(a, e, s, float(c)) for (a, e, s), c in zip(found, chance, strict=True) if c < SIGNIFICANT]
                         if good:
-                            places = [m.span() for m in WORDS.finditer(text.lower())]
+                            places = places_of(text, text.lower())
                             spans = [{"start": places[a][0], "end": places[e - 1][1], "sum": s, "chance": c} for a, e, s, c in good]
                     passages.append(spans)
             yield pd.DataFrame({

@@ -1,10 +1,11 @@
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 
-from pitpanel.llm.toxicity import fit, score, scored_documents, segments
+from pitpanel.llm.toxicity import fit, places_of, score, scored_documents, segments
 
 SCHEMA = "doc_id long, text string, toxicity string, words string"
 LABELS = "doc_id long, quality int, toxic int"
@@ -91,3 +92,22 @@ def test_too_few_labels_give_one_score(spark, labels):
 
 def test_an_empty_table(spark):
     assert scored_documents(spark.createDataFrame([], SCHEMA), spark.createDataFrame([], LABELS)).count() == 0
+
+
+def test_segments_take_linear_time():
+    def seconds(n):
+        scores = np.tile([1.8, -0.4, -0.4, -0.4, -0.4, -0.4], n)
+        started = time.perf_counter()
+        found = segments(scores)
+        assert len(found) == n
+        return time.perf_counter() - started
+
+    seconds(1000)
+    assert seconds(100_000) < 5.0  # one that looks at all earlier candidates takes minutes
+
+
+def test_spans_are_places_in_the_original_text():
+    text = "İİ İstanbul fleeb x"
+    spans = places_of(text, text.lower())
+    assert "fleeb" in [text[a:b] for a, b in spans]
+    assert places_of("Abc dé", "abc dé") == [(0, 3), (4, 6)]
