@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, first_by_hash, ship
+from pitpanel.llm.common import at, ship
 
 NEAREST = 10
 TREES, CHARACTERS = 64, 32
@@ -51,10 +51,15 @@ class Forest:
         self.order = [np.argsort(k, kind="stable") for k in keys]
         self.keys = [k[o] for k, o in zip(keys, self.order, strict=True)]
 
-    def ascend(self, queries: np.ndarray, share: float):
-        """Per query: numbers of the vectors met when at least ``share`` of the block is met."""
+    def ascend(self, queries: np.ndarray, share: float, k: int = NEAREST, own: np.ndarray | None = None):
+        """Per query: numbers of the vectors met when at least ``share`` of the block is met.
+
+        ``own`` counts the rows of each query's own id in the block: they come on top,
+        since they are no neighbours.
+        """
         n = len(self.x)
-        wanted = min(n, max(NEAREST + 1, int(np.ceil(share * n))))
+        least = max(k + 1, int(np.ceil(share * n)))
+        wanted = np.minimum(n, least + (np.zeros(len(queries), np.int64) if own is None else own))
         asked = [strings(queries, self.centre, t) for t in range(TREES)]
         lows = np.zeros((CHARACTERS + 1, TREES, len(queries)), np.int64)
         highs = np.zeros_like(lows)
@@ -67,23 +72,23 @@ class Forest:
         runs = (highs - lows).sum(axis=1)
         for q in range(len(queries)):
             # The runs of all trees together must be long enough before they can be wide enough.
-            level = int(np.flatnonzero(runs[:, q] >= wanted)[-1])
+            level = int(np.flatnonzero(runs[:, q] >= wanted[q])[-1])
             while True:
                 met = np.zeros(n, bool)
                 for t in range(TREES):
                     met[self.order[t][lows[level, t, q] : highs[level, t, q]]] = True
-                if level == 0 or met.sum() >= wanted:
+                if level == 0 or met.sum() >= wanted[q]:
                     break
                 level -= 1
             yield np.flatnonzero(met)
 
 
-def nearest_of(met: np.ndarray, x: np.ndarray, ids: np.ndarray, query: np.ndarray, own, k: int):
-    """The k nearest of the vectors met: ids and distances; ties to the smaller id."""
+def nearest_of(met: np.ndarray, x: np.ndarray, ids: np.ndarray, query: np.ndarray, own, k: int, places=None):
+    """The k nearest of the vectors met: their numbers and distances; ties to the smaller id, then place."""
     met = met[ids[met] != own]
     distance = np.sqrt(((x[met] - query) ** 2).sum(axis=1))
-    best = np.lexsort((ids[met], distance))[:k]
-    return ids[met][best], distance[best]
+    best = np.lexsort((met if places is None else places[met], ids[met], distance))[:k]
+    return met[best], distance[best]
 
 
 def fitted_share(x: np.ndarray, target: float = TARGET) -> float:
@@ -120,54 +125,73 @@ def nearest_vectors(
 
     Unusable vectors and rows without an id take no part; vectors of another
     length are never compared. A query isn't its own neighbour, nor is any row
-    that repeats its id. Ties go to the smaller id.
+    that repeats its id; another row that is repeated is a neighbour each time. Ties
+    go to the smaller id. An id whose rows hold several vectors is one query, and the
+    nearest of them counts.
     """
     ship(vectors.sparkSession)
     rows = vectors.select(
         at(id_col).cast("long").alias("id"), at(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")
     ).where(F.col("id").isNotNull() & usable(F.col("v"))).withColumn("dim", F.size("v"))
-    rows = stage(rows, "vectors")
-    sizes = rows.groupBy("dim").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("asks").cast("long")).alias("q")
-    ).orderBy(F.desc("n"), "dim").limit(1000).collect()
-    out = [nearest_of_length(rows.where(F.col("dim") == s.dim), s.dim, s.n, s.q or 0, k) for s in sizes if s.q]
-    if not out:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    found = out[0]
-    for more in out[1:]:
-        found = found.unionByName(more)
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    # Equal rows of one id ask once; an id with several vectors asks with each of them.
+    asking = stage(rows.where("asks").select("dim", "id", "v").distinct(), "asking")
+    # One row per length: no more than the longest vector has entries.
+    sizes = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).join(
+        asking.groupBy("dim").agg(F.count(F.lit(1)).alias("q")), "dim"
+    ).select(
+        "dim", F.expr(f"CAST((n + {BLOCK_ROWS - 1}) div {BLOCK_ROWS} AS INT)").alias("blocks"),
+        F.expr(f"CAST((q + {CHUNK_QUERIES - 1}) div {CHUNK_QUERIES} AS INT)").alias("chunks"),
+    )
+    sizes = F.broadcast(stage(sizes, "sizes"))
+    found = nearest_of_blocks(rows.join(sizes, "dim"), asking.join(sizes, "dim"), k)
+    # Of several distances between an id and a row the smallest counts.
+    single = found.groupBy("query_id", "row").agg(F.min("vec_id").alias("vec_id"), F.min("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id", "row")
+    ranked = single.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def nearest_of_length(rows: DataFrame, dim: int, n: int, asked: int, k: int) -> DataFrame:
-    """Nearest of every block, for vectors of one length."""
-    ordered = rows.select(F.xxhash64("id", F.lit(SEED)).alias("order"), "id", "v")
-    sample = first_by_hash(ordered, "order", SAMPLE_ROWS, n).select("v").toPandas()
-    x = np.array(sample["v"].tolist(), float).reshape(-1, dim)
-    share, centre = fitted_share(x), x.mean(axis=0)
-    blocks, chunks = -(-n // BLOCK_ROWS), -(-asked // CHUNK_QUERIES)
+def fits(rows: DataFrame) -> dict[int, tuple[float, np.ndarray]]:
+    """Share and centre by length, each fitted in a task on a sample by hash."""
+    order = Window.partitionBy("dim").orderBy(F.xxhash64("id", F.lit(SEED)), "row")
+    sample = rows.select("dim", "v", F.row_number().over(order).alias("place")).where(F.col("place") <= SAMPLE_ROWS)
+
+    def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(part.sort_values("place")["v"].tolist(), float)
+        return pd.DataFrame({"dim": [key[0]], "share": [fitted_share(x)], "centre": [x.mean(axis=0)]})
+
+    fitted = sample.groupBy("dim").applyInPandas(fit, "dim int, share double, centre array<double>").collect()
+    return {r["dim"]: (r["share"], np.array(r["centre"], float)) for r in fitted}
+
+
+def nearest_of_blocks(rows: DataFrame, asking: DataFrame, k: int) -> DataFrame:
+    """Nearest of every block: vectors meet the queries of their length only."""
+    fitted = rows.sparkSession.sparkContext.broadcast(fits(rows))
 
-    def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "row": [], "vec_id": [], "score": []})
+        share, centre = fitted.value[key[0]]
         x = np.array(rows["v"].tolist(), float)
         asks = np.array(queries["v"].tolist(), float)
         ids, own = rows["id"].to_numpy(np.int64), queries["id"].to_numpy(np.int64)
+        places = rows["row"].to_numpy(np.int64)
+        of_own = np.searchsorted(np.sort(ids), own, side="right") - np.searchsorted(np.sort(ids), own)
         out = []
-        for met, query, i in zip(Forest(x, centre).ascend(asks, share), asks, own, strict=True):
-            found, distance = nearest_of(met, x, ids, query, i, k)
-            out.append(pd.DataFrame({"query_id": i, "vec_id": found, "score": distance}))
+        for met, query, i in zip(Forest(x, centre).ascend(asks, share, k, of_own), asks, own, strict=True):
+            found, distance = nearest_of(met, x, ids, query, i, k, places)
+            out.append(pd.DataFrame({"query_id": i, "row": places[found], "vec_id": ids[found], "score": distance}))
         return pd.concat(out)
 
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    chunk = F.pmod(F.xxhash64("id", F.lit("chunk")), F.lit(chunks))
-    everywhere = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)).cast("array<long>"))
-    left = rows.select("id", "v", block.alias("block"), everywhere(chunks).alias("chunk"))
-    right = rows.where("asks").select("id", "v", everywhere(blocks).alias("block"), chunk.alias("chunk"))
-    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(
-        search, "query_id long, vec_id long, score double"
+    block = F.pmod(F.xxhash64("id", "row"), F.col("blocks")).cast("int")
+    chunk = F.pmod(F.xxhash64("id", "v"), F.col("chunks")).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    left = rows.select("dim", "id", "row", "v", block.alias("block"), every("chunks").alias("chunk"))
+    right = asking.select("dim", "id", "v", every("blocks").alias("block"), chunk.alias("chunk"))
+    key = ["dim", "block", "chunk"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        search, "query_id long, row long, vec_id long, score double"
     )
 
 

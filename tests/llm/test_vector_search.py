@@ -64,3 +64,33 @@ def test_unusable_rows_take_no_part(spark):
 def test_rows_that_repeat_an_id(spark):
     got = nearest_vectors(frame(spark, [0, 0, 1, 1], [[1, 0], [1, 0], [0, 1], [0, 1]]), F.col("vec_id") == 0).collect()
     assert {r.vec_id for r in got} == {1}
+
+
+def brute_rows(rows, k=10):
+    """(query_id, rank, vec_id, score) by brute force over rows, by the docstring's rules."""
+    out = []
+    for q in sorted({i for i, v in rows if i % 100 == 0}):
+        mine = {tuple(v) for i, v in rows if i == q}
+        near = []
+        for place, (i, v) in enumerate(rows):
+            ds = [sum((a - b) ** 2 for a, b in zip(m, v, strict=True)) ** 0.5 for m in mine if len(m) == len(v)]
+            if i != q and ds:
+                near.append((min(ds), i))
+        out += [(q, r, i, d) for r, (d, i) in enumerate(sorted(near)[:k], 1)]
+    return out
+
+
+def test_repeated_queries_rows_and_many_lengths_equal_brute_force(spark):
+    draw = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in draw.integers(-3, 4, 4)]) for i in range(1, 9)]
+    rows += [(0, [1.0, 2.0, 3.0, 4.0])] * 4 + [(100, [1.0, 0.0, 0.0, 0.0]), (100, [0.0, 9.0, 0.0, 0.0])] + rows[:2] * 2
+    rows += [(1000 + 2 * d, [1.0] * d) for d in range(5, 45)] + [(100 * (50 + d), [1.5] * d) for d in range(5, 45)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    got = searched(frame(spark, [i for i, _ in rows], [v for _, v in rows])).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got) == sorted((q, k, i, round(d, 9)) for q, k, i, d in brute_rows(rows))
+
+
+def test_an_id_that_fills_a_block_still_finds_its_neighbours(spark):
+    rows = [(0, [1.0, 1.0])] * 400 + [(i, [1.0 + i, 1.0]) for i in range(1, 30)]
+    got = searched(frame(spark, [i for i, _ in rows], [v for _, v in rows])).collect()
+    assert [(r.rank, r.vec_id) for r in got] == [(i, i) for i in range(1, 11)]
