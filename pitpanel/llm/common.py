@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +34,21 @@ def at(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def sheltered(
+    docs: DataFrame, names: Sequence[str], work: Callable[..., DataFrame], added: Sequence[str] = ()
+) -> DataFrame:
+    """``work`` on ``docs`` under column names that nothing inside it can clash with.
+
+    ``work`` takes the renamed rows and the new names of ``names``, and returns all of
+    the rows' columns in order, then those in ``added``. Names are given back at the end.
+    """
+    safe = [f"input_{i}" for i in range(len(docs.columns))]
+    place = {c.lower(): s for c, s in reversed(list(zip(docs.columns, safe, strict=True)))}
+    exact = dict(zip(docs.columns, safe, strict=True))
+    found = work(docs.toDF(*safe), *[exact.get(n) or place[n.lower()] for n in names])
+    return found.toDF(*docs.columns, *added)
+
+
 def word_count(text: Column) -> Column:
     """Number of words; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, fresh
+from pitpanel.llm.common import at, fresh, sheltered
 
 #: At most so many digests take the map-side way: a broadcast of some 100 kB.
 MAX_HEAVY = 1000
@@ -84,8 +84,13 @@ def drop_exact_duplicates(
 
     Copies of frequent texts go map-side. The others' losers are found on ids and
     digests alone, written, and taken out by an anti join that Spark broadcasts
-    only when the written table is small.
+    only when the written table is small. Columns may have any names.
     """
+    work = lambda rows, i, t: _without_duplicates(rows, i, t, max_heavy)
+    return sheltered(docs, [id_col, text_col], work)
+
+
+def _without_duplicates(docs: DataFrame, id_col: str, text_col: str, max_heavy: int) -> DataFrame:
     sha, row = fresh(docs, "sha", "row")
     held = stage(docs.withColumns({sha: digest(at(text_col)), row: F.monotonically_increasing_id()}), "dedup")
     rows = held.select(at(id_col).alias("id"), at(sha).alias("sha"), at(row).alias("row"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import WORD, at, chunks, fresh, ship
+from pitpanel.llm.common import WORD, at, chunks, fresh, sheltered, ship
 
 #: Trigrams are hashed into so many cells.
 CELLS = 1 << 15
@@ -241,9 +241,12 @@ def document_languages(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose language is known and accepted, all columns."""
-    found = identify(docs, "text", "lang", "doc_id", F.col("lang"), F.col("source"), **options)
-    return found.where("__kept").select([at(c) for c in docs.columns])
+    """The rows of ``docs`` whose language is known and accepted, all columns, of any names."""
+    def work(rows: DataFrame, id_col: str, text_col: str, lang: str, source: str) -> DataFrame:
+        found = identify(rows, text_col, lang, id_col, at(lang), at(source), **options)
+        return found.where("__kept").select([at(c) for c in rows.columns])
+
+    return sheltered(docs, ["doc_id", "text", "lang", "source"], work)
 
 
 def page_languages(pages: DataFrame, **options) -> DataFrame:

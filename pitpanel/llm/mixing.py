@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, fresh, ship, word_count
+from pitpanel.llm.common import at, fresh, sheltered, ship, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -186,7 +186,15 @@ def mix(
 
     The draw of epoch e from block b of a source is number e * blocks + b; the
     shard is the one whose run of numbers holds it. ``shard_col`` adds the shard.
+    Columns may have any names.
     """
+    def work(rows: DataFrame, i: str, t: str, s: str) -> DataFrame:
+        return _mixed(rows, i, t, s, seed, shards, "shard" if shard_col else None, **options)
+
+    return sheltered(docs, [id_col, text_col, source_col], work, [shard_col] if shard_col else [])
+
+
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, shards: int, shard_col: str | None, **options) -> DataFrame:
     drawn = draws(docs, id_col, text_col, source_col, seed=seed, shards=shards, **options)
     names = [at(c) for c in docs.columns]
     block = F.least(F.floor(F.col("__u") * F.col("__blocks")), F.col("__blocks") - 1)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, chunks, ship
+from pitpanel.llm.common import at, chunks, sheltered, ship
 
 WORDS = 5
 #: Similarity as a fraction; the bounds on differences in this module are for it.
@@ -414,8 +414,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that stay, all columns: the smallest id of every group.
 
     Rows are told apart by id and text, so texts aren't written again; of rows
-    that repeat both, one stays.
+    that repeat both, one stays. Columns may have any names.
     """
+    return sheltered(docs, [id_col, text_col], _without_near_duplicates)
+
+
+def _without_near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     groups = stage(similar_groups(docs, id_col, text_col), "groups")
     best = groups.groupBy("root").agg(F.min(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
     named = groups.join(best, "root").select("id", "text_key", (F.col("row") == F.col("best.row")).alias("stays"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.functions.stages import stage
-from pitpanel.llm.common import at, fresh
+from pitpanel.llm.common import at, fresh, sheltered
 
 #: A host is blocked when more than this share of its pages is bad ...
 TOLERATED = 0.3
@@ -129,12 +129,21 @@ def judge(
     is held against it. Columns of ``pages`` that clash with the added ones are
     replaced. Rows without a host are judged by the empty host.
     """
+    added = ["host", "path", "rule", "verdict", "bad_rate", "bound"]
+    held = [c for c in pages.columns if c.lower() not in added or c == url_col]
+    work = lambda rows, url: _judged(rows, url, outcomes, rules, tolerated, sure)
+    return sheltered(pages.select([at(c) for c in held]), [url_col], work, added)
+
+
+def _judged(
+    pages: DataFrame, url_col: str, outcomes: DataFrame, rules: tuple[Rule, ...], tolerated: float, sure: float
+) -> DataFrame:
     rated, domains, suffixes = reputations(outcomes)
     # Written, so that Spark knows their sizes and broadcasts small ones only.
     rated = stage(rated, "rated").toDF("h_key", "h_a", "h_c")
     domains = stage(domains, "domains").toDF("d_key", "d_a", "d_c")
     suffixes = stage(suffixes, "suffixes").toDF("s_key", "s_a", "s_c")
-    held = [c for c in pages.columns if c.lower() not in {"host", "path", "rule", "verdict", "bad_rate", "bound"} or c == url_col]
+    held = pages.columns
     host, path = fresh(pages, "judged_host", "judged_path")
     h, p = host_and_path(at(url_col).cast("string"))
     rows = pages.select(*[at(c) for c in held], h.alias(host), p.alias(path))
