@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -879,6 +879,116 @@ def _(r: Roles) -> DataFrame:
     return report.select("run_date", F.array_join("errors", "|").alias("errors"))
 
 
+# Kinds of violations, one a date in turn; 0 plants nothing. 1-9 are in quotes, 10-16 in the
+# reference, 17-22 in the status, 23-25 in the universe, 26-27 in the calendar.
+KINDS = 28
+KIND_SQL = f"date_diff('day', DATE '1992-01-01', q.trade_date) % {KINDS}"
+STRANGER = "999999.SH"
+# What any date of these tables may violate anyway; quality_errors checks those messages.
+UNPLANTED = r"^[a-z_]+ [0-9.]+ below minimum|not open in SSE|not cover SSE|outside daily range"
+
+
+def planted_gate_inputs(r: Roles) -> G.GateInputs:
+    """The gate's tables with one violation a date, on its smallest quoted code."""
+    clean = gate_inputs(r)
+    kind = F.pmod(F.date_diff("run_date", F.lit(dt.date(1992, 1, 1))), F.lit(KINDS))
+    victims = stage(
+        clean.quotes.groupBy(F.col("trade_date").alias("run_date"))
+        .agg(F.min("thscode").alias("victim")).withColumn("kind", kind),
+        "victims",
+    )
+
+    def plant(df: DataFrame, date: str, changes: dict[str, dict[int, object]], shifted: int,
+              again: int = -1, stranger: int = -1, lost: int = -1) -> DataFrame:
+        """Change the victim's columns by kind, repeat, rename or lose its row, shift its date."""
+        # One row per date.
+        rows = df.withColumn("run_date", F.col(date)).join(F.broadcast(victims), "run_date", "left")
+        of = lambda *kinds: F.coalesce(F.col("kind").isin(*kinds), F.lit(False))
+        hit = F.col("thscode") == F.col("victim") if "thscode" in df.columns else F.lit(True)
+        rows = rows.where(~(of(lost) & hit))
+        more = rows.where(of(again, stranger) & hit)
+        if "thscode" in df.columns:
+            code = F.when(of(stranger), F.lit(STRANGER)).otherwise(F.col("thscode"))
+            more = more.withColumn("thscode", code)
+        if "quote_row_present" in df.columns:
+            more = more.withColumn("quote_row_present", F.col("quote_row_present") & ~of(stranger))
+        changed = {}
+        for column, by_kind in changes.items():
+            value = F.col(column)
+            for number, new in by_kind.items():
+                new = new if isinstance(new, Column) else F.lit(new)
+                value = F.when(of(number) & hit, new).otherwise(value)
+            changed[column] = value.cast(df.schema[column].dataType)
+        rows = rows.withColumns(changed) if changed else rows
+        moved = F.when(of(shifted), F.date_add(date, 1)).otherwise(F.col(date))
+        return rows.unionByName(more).withColumn(date, moved).drop("victim", "kind")
+
+    late = F.date_add("run_date", 400)
+    return G.GateInputs(
+        quotes=plant(clean.quotes, "trade_date", {
+            "high": {3: F.col("low") - 1}, "open": {4: 0.0}, "volume": {5: -1.0},
+            "amount": {6: -1.0}, "turnover_ratio": {7: -1.0},
+            "change_ratio": {8: F.col("change_ratio") + 5},
+        }, shifted=9, again=1, stranger=2),
+        reference=plant(clean.reference, "as_of_date", {
+            "listing_date": {12: late}, "total_shares": {13: -1.0, 15: 100.0},
+            "float_a_shares": {13: None, 14: -1.0, 15: 110.0},
+        }, shifted=16, again=10, stranger=11),
+        status=plant(clean.status, "trade_date", {
+            "quote_row_present": {20: False}, "observation_state": {21: "halted"},
+        }, shifted=22, again=17, stranger=19, lost=18),
+        universe=plant(clean.universe, "as_of_date", {}, shifted=24, again=23, lost=25),
+        calendar=plant(clean.calendar, "as_of_date", {}, shifted=26, lost=27),
+    )
+
+
+def _dates_sql(label: str, moved: bool = True) -> str:
+    text = lambda day: f"strftime({day}, '%Y-%m-%d')"
+    listed = f"'[' || chr(39) || {text('q.trade_date + INTERVAL 1 DAY')} || chr(39) || ']'" if moved else "'[]'"
+    return f"'{label} source dates ' || {listed} || ' do not match ' || {text('q.trade_date')}"
+
+
+MISMATCH = "daily status quote_row_present does not match quote codes"
+# What each planted kind must be reported as.
+PLANTED_SQL = {
+    1: "'quotes contain 1 duplicate code/date rows'",
+    2: f"'quotes contain 1 codes outside universe|{MISMATCH}'",
+    3: "'quotes contain 1 invalid OHLC rows'",
+    4: "'quotes contain 1 invalid OHLC rows|quotes contain 1 nonpositive price values'",
+    5: "'quotes contain 1 negative volume rows'", 6: "'quotes contain 1 negative amount rows'",
+    7: "'quotes contain 1 negative turnover rows'",
+    8: "CASE WHEN q.pre_close > 0 THEN 'quotes contain 1 inconsistent change-ratio rows' ELSE '' END",
+    9: _dates_sql("quote"),
+    10: "'security reference contains 1 duplicate codes'",
+    11: "'security reference contains 1 codes outside universe'",
+    12: "'security reference contains 1 future listing dates'",
+    13: "'security reference contains 1 negative total shares'",
+    14: "'security reference contains 1 negative float shares'",
+    15: "'security reference contains 1 float shares above total shares'",
+    16: _dates_sql("security reference"),
+    17: "'daily status contains 1 duplicate code/date rows'",
+    18: f"'daily status universe mismatch: missing=1, extra=0|{MISMATCH}'",
+    19: "'daily status universe mismatch: missing=0, extra=1'", 20: f"'{MISMATCH}'",
+    21: "'daily status contains unsupported observation states'",
+    22: _dates_sql("daily status"),
+    23: "'universe contains 1 duplicate codes'", 24: _dates_sql("universe"),
+    25: "'quotes contain 1 codes outside universe|security reference contains 1 codes outside universe"
+        "|daily status universe mismatch: missing=0, extra=1'",
+    26: _dates_sql("calendar as-of"), 27: _dates_sql("calendar as-of", False),
+}
+
+
+@query("planted_violations", f"""
+SELECT q.trade_date AS run_date, CASE {KIND_SQL} {' '.join(f'WHEN {k} THEN {t}' for k, t in PLANTED_SQL.items())} ELSE '' END AS errors
+FROM daily_quotes q JOIN (SELECT trade_date, min(thscode) AS victim FROM daily_quotes GROUP BY 1) v
+  ON q.trade_date = v.trade_date AND q.thscode = v.victim""")
+def _(r: Roles) -> DataFrame:
+    """Every rule that clean tables never break, broken on dates of its own."""
+    report = G.validate_data(planted_gate_inputs(r), LIMITS)
+    ours = F.filter("errors", lambda e: ~e.rlike(UNPLANTED))
+    return report.select("run_date", F.array_join(ours, "|").alias("errors"))
+
+
 @query("duplicate_keys", """
 SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
 GROUP BY 1, 2 HAVING count(*) > 1""")
