@@ -35,7 +35,10 @@ from pitpanel.operators.state import (
 from pitpanel.plans.role_sql import BOARD, EXCHANGE, with_views
 from pitpanel.plans.roles import Roles
 from pitpanel.schemas import QUOTE_MEASURES, STOCK_STATE_FIELDS
-from pitpanel.sources.landing import flatten_tables
+from pitpanel.sources.landing import (
+    QUOTE_FEED, UNIVERSE_FEED, calendar_feed, flatten_tables, quote_feed, reference_feed,
+    universe_feed,
+)
 from pitpanel.sources.store import Store, new_version
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,6 +222,73 @@ def _(r: Roles) -> DataFrame:
     return N.normalize_trade_calendar(raw.unionByName(earlier))
 
 
+# Feeds ------------------------------------------------------------------------
+
+
+@query("universe_feed", """
+SELECT as_of_date, thscode, security_name || '2' AS security_name, security_name_in_time FROM universe""")
+def _(r: Roles) -> DataFrame:
+    """Positional vendor fields; every code comes twice, and once with a bad code."""
+    names = {own: vendor for vendor, own in UNIVERSE_FEED.items()}
+    landed = r.universe.select(
+        F.lit(None).cast("string").alias("thscode"),
+        F.date_format("as_of_date", "yyyyMMdd").alias(names["as_of_date"]),
+        F.inline(F.array(*[
+            F.struct(code.alias(names["thscode"]), name.alias(names["security_name"]), F.lit(n).alias("seq"))
+            for n, code, name in (
+                (1, F.lower("thscode"), F.concat("security_name", F.lit("1"))),
+                (2, F.concat(F.lit(" "), "thscode"), F.concat(F.lit("  "), "security_name", F.lit("2 "))),
+                (3, F.concat(F.lit("X"), "thscode"), F.col("security_name")),
+            )
+        ])),
+        F.col("security_name_in_time").alias(names["security_name_in_time"]),
+    )
+    return universe_feed(landed, ["seq"])
+
+
+@query("quote_feed", f"""
+SELECT trade_date, thscode, open, high, low, close, pre_close, volume, amount, {rounded('avg_price turnover_ratio change_ratio')},
+       'vendor' AS source_provider, 'history' AS source_endpoint
+FROM daily_quotes WHERE NOT (date_diff('day', DATE '1992-01-01', trade_date) % 7 = 0)""")
+def _(r: Roles) -> DataFrame:
+    """Vendor names and texts; of each row an older copy; one date in seven without any measure."""
+    empty = F.pmod(F.date_diff("trade_date", F.lit(dt.date(1992, 1, 1))), F.lit(7)) == 0
+    fields = [F.when(~empty, F.col(own).cast("string")).alias(vendor) for vendor, own in QUOTE_FEED.items()]
+    landed = r.daily_quotes.select(
+        F.date_format("trade_date", "yyyy-MM-dd").alias("time"), F.lower("thscode").alias("thscode"), *fields,
+        F.lit(2).alias("seq"),
+    )
+    older = landed.withColumns({"close": F.when(F.col("close").isNotNull(), F.lit("1")), "seq": F.lit(1)})
+    return flat(quote_feed(landed.unionByName(older), "vendor", "history", ["seq"]))
+
+
+@query("reference_feed", """
+SELECT u.as_of_date, u.thscode, r.listing_date, r.total_shares, r.float_a_shares,
+       'vendor' AS source_provider, 'basic' AS source_endpoint
+FROM universe u JOIN security_reference r ON u.thscode = r.thscode""")
+def _(r: Roles) -> DataFrame:
+    shares = lambda c: F.coalesce(F.format_string("%.1f", F.col(c)), F.lit("--"))
+    landed = r.universe.select("as_of_date", "thscode").join(r.security_reference, "thscode").select(
+        F.date_format("as_of_date", "yyyyMMdd").alias("as_of_date"), F.lower("thscode").alias("thscode"),
+        F.date_format("listing_date", "yyyyMMdd").alias("ths_sfssrq_stock"),
+        shares("total_shares").alias("ths_total_shares_stock"), shares("float_a_shares").alias("ths_float_ashare_stock"),
+    )
+    return reference_feed(landed.unionByName(landed), "vendor", "basic")
+
+
+@query("calendar_feed", """
+SELECT trade_date AS as_of_date, trade_date, 'SSE' AS calendar, '212001' AS market_code, true AS is_open,
+       'vendor' AS source_provider, 'dates' AS source_endpoint
+FROM trading_calendar WHERE is_open""")
+def _(r: Roles) -> DataFrame:
+    open_days = r.trading_calendar.where("is_open").select(
+        "trade_date", F.date_format("trade_date", "yyyyMMdd").alias("as_of_date"),
+        F.date_format("trade_date", "yyyy-MM-dd").alias("time"),
+    ).drop("trade_date")
+    junk = open_days.withColumn("time", F.lit("not a day"))
+    return calendar_feed(open_days.unionByName(open_days).unionByName(junk), "212001", "vendor", "dates")
+
+
 # Scans -----------------------------------------------------------------------
 
 
