@@ -16,7 +16,8 @@ from __future__ import annotations
 import html as entities
 import random
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -126,6 +127,7 @@ def parse(html: str) -> Page:
     """Blocks of text and the tree of block elements; closing tags may be missing."""
     tags, parents, ends, own, blocks = ["#page"], [-1], [0], [[0.0] * 12], []
     stack = [0]
+    open_at: dict[str, list[int]] = defaultdict(list)  # depths of open elements, by tag
     inline, anchors = [], 0
     linked = 0
     skip = ""
@@ -146,7 +148,14 @@ def parse(html: str) -> Page:
 
     def close_to(depth: int) -> None:
         while len(stack) > depth:
-            ends[stack.pop()] = len(tags)
+            node = stack.pop()
+            ends[node] = len(tags)
+            if open_at[tags[node]]:
+                open_at[tags[node]].pop()
+
+    def deepest(names: Iterable[str]) -> int:
+        """Depth of the innermost open element of these tags; 0 where none is open."""
+        return max((open_at[t][-1] for t in names if open_at[t]), default=0)
 
     last = 0
     while m := TOKEN.search(html, last):
@@ -186,27 +195,21 @@ def parse(html: str) -> Page:
             continue
         flush()
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == tag:
-                    close_to(depth)
-                    anchors = 0
-                    break
+            if depth := deepest([tag]):
+                close_to(depth)
+                anchors = 0
             continue
         if tag == "hr":
             continue
-        if tag in ("html", "body") and tag in [tags[i] for i in stack]:
+        if tag in ("html", "body") and deepest([tag]):
             continue
         if tags[stack[-1]] == "p":
             close_to(len(stack) - 1)
         if tag in CLOSED_BY:
             over, until = CLOSED_BY[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                name = tags[stack[depth]]
-                if name in until:
-                    break
-                if name in over:
-                    close_to(depth)
-                    break
+            depth = deepest(over)
+            if depth > deepest(until):
+                close_to(depth)
         parent = stack[-1]
         around, inside = attribute_words(m["attrs"] or m["attrs2"] or "")
         above = own[parent]
@@ -223,6 +226,7 @@ def parse(html: str) -> Page:
         tags.append(tag)
         parents.append(parent)
         ends.append(0)
+        open_at[tag].append(len(stack))
         stack.append(len(tags) - 1)
         del node
     if not skip and last < len(html):

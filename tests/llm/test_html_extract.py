@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -130,3 +131,11 @@ def test_trees_learn_an_interaction():
     model = boosting.fit(x[:3000], y[:3000])
     assert ((model.chance(x[3000:]) > 0.5) == y[3000:]).mean() > 0.95
     assert model.chance(np.zeros((0, 5))).shape == (0,)
+
+
+def test_parsing_takes_linear_time():
+    """Open elements that are never closed, end tags that close nothing, items far from their list."""
+    for page in ("<div>" * 100_000 + "</p>" * 100_000, "<div>" * 50_000 + "<li>a</li>" * 50_000, "<ul><li>" + "<ul>" * 30_000 + "<li>a</li>" * 50_000):
+        started = time.perf_counter()
+        assert len(html_extract.parse(page).tags) > 30_000
+        assert time.perf_counter() - started < 20  # a search through the stack takes minutes
