@@ -181,25 +181,30 @@ SQL = """
                     ELSE replace(replace(role, '<|', '< |'), chr(10), ' ') END AS role,
                replace(coalesce(text, ''), '<|', '< |') AS body
         FROM conversations
+    ), n AS (
+        SELECT *, CASE WHEN count(*) OVER (PARTITION BY conv_id, part) > 128
+                       THEN (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, body) - 1) // 64
+                       ELSE 0 END AS piece
+        FROM m
     ), s AS (
-        SELECT DISTINCT conv_id, part, role AS speaker FROM m WHERE role <> 'system'
+        SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'
     ), r AS (
-        SELECT s.conv_id, s.part, s.speaker, m.turn, m.role, m.body, m.role = s.speaker AS target,
-               CASE WHEN m.role = s.speaker THEN '<|im_start|>assistant' || chr(10)
-                    WHEN m.role = 'system' THEN '<|im_start|>system' || chr(10)
-                    ELSE '<|im_start|>user name=' || m.role || chr(10) END AS head
-        FROM s JOIN m ON s.conv_id IS NOT DISTINCT FROM m.conv_id AND s.part IS NOT DISTINCT FROM m.part
+        SELECT n.conv_id, n.part, n.piece, s.speaker, n.turn, n.role, n.body, n.role = s.speaker AS target,
+               CASE WHEN n.role = s.speaker THEN '<|im_start|>assistant' || chr(10)
+                    WHEN n.role = 'system' THEN '<|im_start|>system' || chr(10)
+                    ELSE '<|im_start|>user name=' || n.role || chr(10) END AS head
+        FROM s JOIN n ON s.conv_id IS NOT DISTINCT FROM n.conv_id
     ), p AS (
         SELECT *, sum(length(head) + length(body) + 11) OVER (
-                   PARTITION BY conv_id, part, speaker
+                   PARTITION BY conv_id, part, piece, speaker
                    ORDER BY turn NULLS FIRST, role, body ROWS UNBOUNDED PRECEDING
                ) - length(body) - 11 AS begins
         FROM r
     )
-    SELECT conv_id, part, CAST(0 AS BIGINT) AS piece, speaker, count(*) AS n_turns,
+    SELECT conv_id, part, CAST(piece AS BIGINT) AS piece, speaker, count(*) AS n_turns,
            count(*) FILTER (target) AS n_target_turns,
            string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, body) AS text,
-           string_agg(CAST(begins AS BIGINT) || '-' || CAST(begins + length(body) + 10 AS BIGINT), ','
-                      ORDER BY turn NULLS FIRST, role, body) FILTER (target) AS mask
-    FROM p GROUP BY conv_id, part, speaker
+           coalesce(string_agg(CAST(begins AS BIGINT) || '-' || CAST(begins + length(body) + 10 AS BIGINT), ','
+                               ORDER BY turn NULLS FIRST, role, body) FILTER (target), '') AS mask
+    FROM p GROUP BY conv_id, part, piece, speaker
 """

@@ -1,6 +1,9 @@
 import random
 from collections import defaultdict
 
+import pandas as pd
+import pytest
+
 from pitpanel.llm import chat_format
 from pitpanel.llm.chat_format import perspectives
 
@@ -104,3 +107,24 @@ def test_an_empty_table_and_no_python(spark):
     assert df.count() == 0
     plan = perspectives(frame(spark, [(1, 1, "user", "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_the_sql_says_what_the_operator_does(spark):
+    """Long, crowded and unnumbered conversations, silent speakers, ties and markers."""
+    duckdb = pytest.importorskip("duckdb")
+    draw = random.Random(9)
+    say = lambda: draw.choice(["hello", "a <| b", "", None, "line\nline", "ünï"]) or draw.choice([None, ""])
+    rows = [(1, t, draw.choice(["ann", "bob"]) if t < 100 else "eve", say()) for t in range(200)] + [(1, 0, "system", "scene")]
+    rows += [(2, t % 5, draw.choice(["ann", "bob", None, "", "system"]), f"{say()}{i}") for i, t in enumerate(range(150))]
+    rows += [(3, None, draw.choice(["x<|", "y\nz"]), f"t{i}") for i in range(140)] + [(3, 7, "late", "here")]
+    rows += [(4, 1, "ann", "same")] * 3 + [(None, 1, "ann", "no id"), (None, 70, "bob", "no id")] + [(5, 0, "system", "alone")]
+    rows += [(6, 64 * k, "ann" if k else "bob", f"p{k}") for k in range(4)]
+    got = chat_format.digests(frame(spark, rows)).toPandas()
+    with duckdb.connect() as db:
+        conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
+        db.register("conversations", conversations)
+        want = db.execute(chat_format.SQL).fetchall()
+        names = [c[0] for c in db.description]
+    plain_row = lambda r: tuple(None if pd.isna(v) else int(v) if isinstance(v, (float, int)) else v for v in r)
+    assert sorted(map(repr, map(plain_row, got[names].itertuples(index=False)))) == sorted(map(repr, map(plain_row, want)))
+    assert len(want) > 12 and {r[names.index("piece")] for r in want} > {0}
