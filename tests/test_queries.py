@@ -35,6 +35,18 @@ def test_query_equals_its_sql(spark, name):
     assert table(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+@needs_data
+def test_explorer_rows_keeps_every_column(spark):
+    df = entry_point.queries()["explorer_rows"](spark, SMALL)
+    assert len(df.columns) == 16 and {"close", "avg_price", "listing_date"} <= set(df.columns)
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    result = db.execute(entry_point.oracle_sql()["explorer_rows"])
+    want = table([d[0] for d in result.description], result.fetchall())
+    assert table(df.columns, [tuple(r) for r in df.collect()]) == want
+
+
 @needs_data
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry_point.queries()["last_n_sessions_scan"](spark, SMALL))
