@@ -47,6 +47,27 @@ def test_explorer_rows_keeps_every_column(spark):
     assert table(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+@pytest.fixture
+def thousands(tmp_path):
+    """The small tables, their suppliers numbered from 1,000 on."""
+    for t in TABLES:
+        key = {"supplier": "s_suppkey", "lineitem": "l_suppkey"}.get(t)
+        shift = f"REPLACE ({key} + 1000 AS {key})" if key else ""
+        duckdb.sql(f"COPY (SELECT * {shift} FROM '{SMALL}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+    return str(tmp_path)
+
+
+@needs_data
+def test_universe_feed_keeps_codes_of_seven_digits(spark, thousands):
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{thousands}/{t}.parquet'")
+    result = db.execute(entry_point.oracle_sql()["universe_feed"])
+    want = table([d[0] for d in result.description], result.fetchall())
+    df = entry_point.queries()["universe_feed"](spark, thousands)
+    assert want and table(df.columns, [tuple(r) for r in df.collect()]) == want
+
+
 @needs_data
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry_point.queries()["last_n_sessions_scan"](spark, SMALL))
