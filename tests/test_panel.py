@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitpanel.operators.adjust import apply_adjustments, factor_versions
-from pitpanel.operators.panel import benchmark_returns, history_panel
+from pitpanel.operators.panel import RECENT, benchmark_returns, history_panel
 
 BASE = dt.date(2024, 1, 1)
 FIELDS = (
@@ -20,7 +20,7 @@ def day(n):
     return BASE + dt.timedelta(days=n)
 
 
-def market(seed, days=70):
+def market(seed, days=70, delay=900):
     """Prices with gaps, and factors known on time, late, revised or never."""
     rng = random.Random(seed)
     bars, factors = [], []
@@ -33,7 +33,7 @@ def market(seed, days=70):
             stamp = dt.datetime.combine(day(n), dt.time(10))
             factors.append((day(n), code, rng.choice([0.5, 1.0]), stamp))
             if code == "LATE" and rng.random() < 0.4:
-                late = stamp + dt.timedelta(hours=rng.randrange(1, 900))
+                late = stamp + dt.timedelta(hours=rng.randrange(1, delay))
                 factors.append((day(n), code, rng.uniform(0.2, 2.0), late))
     return bars, factors
 
@@ -110,6 +110,41 @@ def test_every_output_date_equals_a_build_for_that_date(spark, sessions):
     assert checked == len(bars)
 
 
+@pytest.mark.parametrize("sessions", [30, None])
+def test_factors_that_settle_within_days(spark, sessions):
+    """Revisions up to RECENT days late, and first factors that come late or never."""
+    bars, factors = market(11, delay=24 * RECENT)
+    bars += [(d, "NEW", *rest) for d, code, *rest in bars if code == "GAPPY"]
+    factors += [
+        (d, "NEW", x, known + dt.timedelta(days=n % 5)) for n, (d, code, x, known) in
+        enumerate(f for f in factors if f[1] == "GAPPY") if n > 3 and n % 9
+    ]
+    history, adjustments = frames(spark, bars, factors)
+    panel = history_panel(history, adjustments, sessions=sessions)
+    points = panel.collect()
+    assert len(points) == len(bars)
+    for row in points:
+        want = expected(bars, factors, row["thscode"], row["trade_date"], sessions or 1000)
+        for field in FIELDS:
+            if want[field] is None:
+                assert row[field] is None, (row["thscode"], row["trade_date"], field)
+            else:
+                assert row[field] == pytest.approx(want[field], rel=1e-9, abs=1e-9), field
+
+
+def test_no_window_carries_gathered_rows(spark):
+    """Lists of 252 rows that pass another window or sort are spilled row by row."""
+    history, adjustments = frames(spark, *market(3, days=5))
+    plan = history_panel(history, adjustments)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if line.strip(" :+-").startswith("Window")]
+    gathers = ["collect_list" in line and "close" in line for line in lines]
+    assert gathers.count(True) >= 1 and not any(
+        "_recent#" in line.split("windowspecdefinition")[0] and "collect_list" not in line
+        for line in lines
+    )
+    assert gathers.index(True) == 0, lines
+
+
 def test_a_range_equals_the_same_dates_of_the_whole_panel(spark):
     bars, factors = market(7)
     history, adjustments = frames(spark, bars, factors)
