@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from pitpanel.functions.keys import latest_per_key, spread_join
+from pitpanel.plans.roles import Roles
 from tools.check_queries import TABLES, table
 
 SMALL = "/root/testdata/sf0.001"
@@ -68,6 +69,22 @@ def test_universe_feed_keeps_codes_of_seven_digits(spark, thousands):
     assert want and table(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+@needs_data
+def test_universe_makes_no_row_twice(spark):
+    """No row is made again only to be dropped by a shuffle of the whole universe."""
+    listed = Roles(spark, SMALL).universe
+    assert listed.count() == listed.distinct().count() > 0
+    plan = plan_of(listed)
+    assert "Generate explode" in plan and "keys=[as_of_date" not in plan
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    result = db.execute(entry_point.oracle_sql()["normalize_universe"])
+    want = table([d[0] for d in result.description], result.fetchall())
+    df = entry_point.queries()["normalize_universe"](spark, SMALL)
+    assert table(df.columns, [tuple(r) for r in df.collect()]) == want
+
+
 @needs_data
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry_point.queries()["last_n_sessions_scan"](spark, SMALL))
