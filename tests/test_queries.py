@@ -85,6 +85,12 @@ def test_universe_makes_no_row_twice(spark):
     assert table(df.columns, [tuple(r) for r in df.collect()]) == want
 
 
+@needs_data
+def test_reference_feed_lands_its_rows_from_one_plan(spark):
+    plan = plan_of(entry_point.queries()["reference_feed"](spark, SMALL))
+    assert "Union" not in plan
+
+
 @needs_data
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry_point.queries()["last_n_sessions_scan"](spark, SMALL))
