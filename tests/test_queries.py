@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from pitpanel.functions.keys import latest_per_key, spread_join
+from pitpanel.plans import roles
 from pitpanel.plans.roles import Roles
 from tools.check_queries import TABLES, table
 
@@ -91,6 +92,30 @@ def test_reference_feed_lands_its_rows_from_one_plan(spark):
     assert "Union" not in plan
 
 
+@needs_data
+@pytest.mark.parametrize("name", ["market_summary", "breadth_shares"])
+def test_summaries_make_their_quotes_once(spark, name):
+    df = entry_point.queries()[name](spark, SMALL)
+    assert "lineitem" not in plan_of(df)
+    db = duckdb.connect()
+    for t in TABLES:
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    result = db.execute(entry_point.oracle_sql()[name])
+    want = table([d[0] for d in result.description], result.fetchall())
+    assert table(df.columns, [tuple(r) for r in df.collect()]) == want
+
+
+@needs_data
+@pytest.mark.parametrize("many", [0, 600, 1_000_000])
+def test_quote_moves_are_those_of_the_quotes(spark, monkeypatch, many):
+    """Whichever way the lines of a supplier take; rows are shuffled by supplier only."""
+    monkeypatch.setattr(roles, "MANY_LINES", many)
+    moves = Roles(spark, SMALL).quote_moves
+    want = Roles(spark, SMALL).daily_quotes.select(*moves.columns)
+    assert moves.count() == want.count() > 0 and moves.exceptAll(want).isEmpty()
+    assert "hashpartitioning(thscode" not in plan_of(moves)
+
+
 @needs_data
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry_point.queries()["last_n_sessions_scan"](spark, SMALL))

@@ -10,7 +10,7 @@ from pitpanel.functions.hashing import content_hash, schema_signature
 from pitpanel.functions.keys import (
     assert_unique, fit_columns, latest_per_key, outside, spread_join, unique_or_fail,
 )
-from pitpanel.functions.stats import exact_median, reproducible_sums
+from pitpanel.functions.stats import decimal_sum, exact_median, reproducible_sums
 from pitpanel.operators.adjust import derive_factors
 from pitpanel.operators.explorer import explorer_rows
 from pitpanel.operators.normalize import normalize_quotes
@@ -136,3 +136,40 @@ def test_joins_refuse_a_planted_duplicate(spark, case):
         else:
             status = build_daily_security_status(listed, quotes)
             explorer_rows(twice(status, "status"), twice(shares, "reference"), quotes).collect()
+
+
+@pytest.mark.parametrize("split_above", [2, 4096])
+def test_median_of_crowded_and_far_values(spark, split_above):
+    rng, inf = random.Random(5), float("inf")
+    groups = {
+        "crowd": [1.0 + rng.random() * 1e-9 for _ in range(500)] + [1e300, -1e300, 1.999],
+        "signs": [-3.5, -2e-310, -0.0, 0.0, 4e-320, 7.0, 1e-5, -1e-5],
+        "far": [-inf, -inf, 5.0, 6.0, inf], "gap": [-1e308, -1e308, 1e308, 1e308],
+        "edge": [-inf, 2.0], "wide": [rng.gauss(0, 1) * 10.0 ** rng.randint(-30, 30) for _ in range(301)],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    found = {r["g"]: r["m"] for r in exact_median(df, ["g"], "v", "m", 4, split_above).collect()}
+    assert found == {g: statistics.median(v) for g, v in groups.items()}
+    dated = df.select(F.lit(dt.date(2026, 8, 17)).alias("trade_date"), "v").where("abs(v) < 2")
+    (row,) = exact_median(dated, ["trade_date"], "v", "m", 4, split_above).collect()
+    assert row["m"] == statistics.median([v for _, v in rows if abs(v) < 2])
+
+
+def test_median_needs_no_sketch_and_ranks_few_rows(spark):
+    df = spark.range(100).select(F.lit(dt.date(2026, 8, 17)).alias("trade_date"), F.col("id").cast("double").alias("v"))
+    plan = exact_median(df, ["trade_date"], "v", "m")._jdf.queryExecution().toString()
+    assert "percentile_approx" not in plan and "_cuts" not in plan
+
+
+def test_decimal_sum_equals_the_sum_of_decimals(spark):
+    rng = random.Random(6)
+    rows = [("plain", rng.randint(-10**7, 10**7) / 100) for _ in range(500)]
+    rows += [("odd", rng.choice([1.005, 2.675, 0.125, 1e12, -7.5e12 - 0.015, 0.1, 1e-9, -0.0])) for _ in range(200)]
+    rows += [("large", 99999999999999.99), ("large", 87960930222.08), ("large", -0.01), ("none", None), ("some", None), ("some", 0.3)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for precision, scale in ((18, 2), (28, 4)):
+        plain = F.sum(F.col("v").cast(f"decimal({precision},{scale})")).cast("double")
+        got = df.groupBy("k").agg(decimal_sum("v", precision, scale).alias("a"), plain.alias("b")).collect()
+        assert {r["k"]: r["a"] for r in got} == {r["k"]: r["b"] for r in got} and len(got) == 5
