@@ -10,6 +10,7 @@ import __spark_entry__ as entry_point
 from pitpanel.functions.keys import deal, stack_join
 from pitpanel.operators import temporal as TP
 from pitpanel.plans import roles
+from pitpanel.plans.driver_queries import READ_STATE, counted_state
 from pitpanel.plans.roles import Roles
 
 SMALL = "/root/testdata/sf0.001"
@@ -84,3 +85,13 @@ def test_state_never_shuffles_or_writes_its_wide_rows(spark):
     assert "/panel-" not in plan_of(state)
     wide = [k for k in shuffled_by(state) if "_part" in k or "trade_date, thscode" in k]
     assert not wide, wide
+
+
+@needs_data
+def test_a_document_writes_presence_where_it_only_counts(spark):
+    state = entry_point.queries()["stock_state"](spark, SMALL)
+    counted = counted_state(state)
+    kinds = dict(counted.dtypes)
+    assert kinds["total_return_index"] == kinds["index_memberships"] == "boolean"
+    assert counted.columns == state.columns
+    assert {c: kinds[c] for c in READ_STATE} == {c: dict(state.dtypes)[c] for c in READ_STATE}
