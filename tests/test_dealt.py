@@ -95,3 +95,9 @@ def test_a_document_writes_presence_where_it_only_counts(spark):
     assert kinds["total_return_index"] == kinds["index_memberships"] == "boolean"
     assert counted.columns == state.columns
     assert {c: kinds[c] for c in READ_STATE} == {c: dict(state.dtypes)[c] for c in READ_STATE}
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["quality_metrics", "quality_errors"])
+def test_tables_dealt_by_code_are_not_shuffled_by_date_and_code(spark, name):
+    assert not by_date_and_code(entry_point.queries()[name](spark, SMALL))
