@@ -98,6 +98,6 @@ def test_a_document_writes_presence_where_it_only_counts(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["quality_metrics", "quality_errors", "explorer_rows", "tradability_state", "tradability_reasons"])
+@pytest.mark.parametrize("name", ["quality_metrics", "quality_errors", "explorer_rows", "tradability_state", "tradability_reasons", "normalize_quotes"])
 def test_tables_dealt_by_code_are_not_shuffled_by_date_and_code(spark, name):
     assert not by_date_and_code(entry_point.queries()[name](spark, SMALL))
